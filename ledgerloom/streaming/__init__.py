@@ -1,0 +1 @@
+"""Nothing streams: every dataset is a scheduled full refresh (see README, "Scope")."""
