@@ -49,9 +49,13 @@ def ratio(value: Column | str, by: Column | str) -> Column:
 
 
 def exact_ratio(value: Column | str, by: Column | str) -> Column:
-    """Decimal quotient, NULL when the divisor is zero or NULL."""
+    """Decimal quotient, NULL when the divisor is zero or NULL.
+
+    The dividend is brought to decimal(26,8) first: a wider one would make Spark cut the
+    quotient to six places, and rounding that to cents afterwards would round twice.
+    """
     by = _col(by)
-    return _col(value) / F.when(by != 0, by)
+    return _col(value).cast("decimal(26,8)") / F.when(by != 0, by)
 
 
 def to_other_currency(value: Column | str, rate: Column | str) -> Column:
