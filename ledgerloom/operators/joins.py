@@ -39,13 +39,11 @@ def lookup(
     `take` maps the new name to a column of `other`. Reading just keys and taken columns keeps
     the scan of `other` narrow, and renaming makes it safe to look the same table up twice.
     """
-    right = [f"_on{i}" for i in range(len(on))]
-    side = other.select(
-        *[F.col(name).alias(key) for key, name in zip(right, on.values())],
-        *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in take.items()],
-    )
-    condition = reduce(Column.__and__, [F.col(left) == F.col(key) for left, key in zip(on, right)])
-    return df.join(side, condition, how).drop(*right)
+    plain = {name: c for name, c in take.items() if isinstance(c, str)}
+    other = other.withColumns({f"_{name}": c for name, c in take.items() if name not in plain})
+    sources = {**on, **{name: plain.get(name, f"_{name}") for name in take}}
+    side = other.selectExpr(*[f"`{source}` AS `{name}`" for name, source in sources.items()])
+    return df.join(side, list(on), how)
 
 
 def has_match(df: DataFrame, other: DataFrame, on: Mapping[str, str], name: str) -> DataFrame:
@@ -90,6 +88,15 @@ def latest_by(
     return totals_by(df, keys, _row=picked).select(*keys, "_row.*")
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """DISTINCT over a wide row, as one struct key.
+
+    The same rows come out; with dozens of separate grouping columns the generated aggregation
+    code grows past what the JVM compiles, with one key it stays small.
+    """
+    return df.select(F.struct(*df.columns).alias("_row")).distinct().select("_row.*")
+
+
 def distinct_union(*frames: DataFrame) -> DataFrame:
     """UNION: all rows of frames with the same columns, duplicates removed once at the end."""
     return reduce(lambda a, b: a.unionByName(b), frames).distinct()
