@@ -54,6 +54,14 @@ def has_match(df: DataFrame, other: DataFrame, on: Mapping[str, str], name: str)
     return joined.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
+def matching(df: DataFrame, other: DataFrame, on: Mapping[str, str], keep: bool = True) -> DataFrame:
+    """Rows whose keys occur in `other` (semi join), or with keep=False those that do not (anti)."""
+    keys = list(on.values())
+    found = totals_by(other.select(*keys), keys, _found=F.lit(True))
+    found = found.selectExpr(*[f"`{name}` AS `{left}`" for left, name in on.items()])
+    return df.join(found, list(on), "left_semi" if keep else "left_anti")
+
+
 def share_of_total(
     df: DataFrame, keys: Sequence[str], value: str, name: str, empty_as_zero: bool = False,
 ) -> DataFrame:

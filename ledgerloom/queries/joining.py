@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import has_match, lookup, share_of_total, totals_by
+from ledgerloom.operators.joins import has_match, lookup, matching, share_of_total, totals_by
 from ledgerloom.queries.base import portable_sql, query, table
 
 
@@ -148,16 +148,14 @@ def join_fanout_weighted(spark, sf_dir):
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
 def join_semi(spark, sf_dir):
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_orderkey").distinct()
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(returned, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    return matching(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), returned, {"o_orderkey": "l_orderkey"})
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def join_anti(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
+    return matching(orders, table(spark, sf_dir, "lineitem"), {"o_orderkey": "l_orderkey"}, keep=False)
 
 
 @query(portable_sql("""SELECT o_orderkey, (SELECT sum(CAST(l_quantity AS DECIMAL(15,2))) FROM lineitem

@@ -11,8 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import IGNORED_NAMES, SCRIPT_SUFFIXES, scrubbed, selected_name, target_name
-from ledgerloom.operators.quality import validated
+from ledgerloom.functions.text import (
+    IGNORED_NAMES,
+    SCRIPT_SUFFIXES,
+    reference_patterns,
+    scrubbed,
+    selected_name,
+    target_name,
+    uncommented,
+)
+from ledgerloom.operators.quality import references, validated
 
 
 def scripts(
@@ -20,10 +28,20 @@ def scripts(
     ignored: Sequence[str] = IGNORED_NAMES, prefix: str = "", suffix: str = "",
 ) -> DataFrame:
     """Scripts of a folder that are selected by name, in name order, with their target table."""
-    files = spark.read.format("binaryFile").load(folder).select(
-        "path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.decode("content", "UTF-8").alias("text"))
-    return files.where(selected_name("name", suffixes, ignored)).select(
-        "name", target_name("name", prefix, suffix).alias("table_name"), "text").orderBy("name")
+    listed = spark.createDataFrame([(name,) for name in _file_names(spark, folder)], "name string")
+    texts = spark.read.format("binaryFile").load(folder).select(
+        F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.decode("content", "UTF-8").alias("text"))
+    chosen = listed.where(selected_name("name", suffixes, ignored)).join(texts, "name", "left")
+    return chosen.select(
+        "name", target_name("name", prefix, suffix).alias("table_name"), F.coalesce("text", F.lit("")).alias("text"),
+    ).orderBy("name")
+
+
+def _file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder. Spark's file sources skip files of no bytes, which a check must report."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(path) if status.isFile()]
 
 
 def checked_scripts(found: DataFrame) -> DataFrame:
@@ -31,6 +49,12 @@ def checked_scripts(found: DataFrame) -> DataFrame:
     return validated(found, "text", "SELECT")
 
 
+def script_references(found: DataFrame, owner: str) -> DataFrame:
+    """Different objects of an owner that the scripts name, by kind, in upper case."""
+    plain = found.select(F.upper(uncommented("text")).alias("text"))
+    return references(plain, "text", reference_patterns(owner.upper()))
+
+
 def run_script(spark: SparkSession, text: str) -> DataFrame | None:
     """Result of one script's query; None when nothing is left after cleaning."""
     cleaned = spark.range(1).select(scrubbed(F.lit(text)).alias("sql")).first()["sql"].rstrip(";").strip()

@@ -1,0 +1,209 @@
+"""Transforms, checks, sinks, scripts and run reports."""
+
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloom.functions.text import (
+    qualified_names,
+    qualified_tables,
+    scrubbed,
+    selected_name,
+    target_name,
+)
+from ledgerloom.operators import quality as Q
+from ledgerloom.plans import registry
+from ledgerloom.session import apply_settings, work_folder
+from ledgerloom.sinks.tables import append, full_refresh, table_exists, table_info
+from ledgerloom.sources import jdbc, scripts
+from ledgerloom.sources.erp import ERP_TABLES, load_tables, register_views
+
+
+def one(df, column):
+    return [r[0] for r in df.select(column).collect()]
+
+
+def test_clean_names(rows):
+    assert Q.clean_names(rows("`A b` int, ` C-d ` int, `é` int", (1, 2, 3))).columns == ["a_b", "c_d", "_"]
+    with pytest.raises(ValueError, match="collide"):
+        Q.clean_names(rows("`a-b` int, `a b` int", (1, 2)))
+
+
+def test_align(rows):
+    target = T.StructType([T.StructField("b", T.LongType()), T.StructField("a", T.StringType())])
+    out = Q.aligned(rows("x int, y int, z int", (1, 2, 3)), target, ["a", "b", "c"])
+    assert out.columns == ["b", "a"] and tuple(out.first()) == (2, "1")
+    with pytest.raises(ValueError, match="do not fit"):
+        Q.aligned(rows("x int", (1,)), target, ["a", "b"])
+    with pytest.raises(ValueError, match="missing"):
+        Q.aligned(rows("a string", ("1",)), target)
+
+
+def test_profile(rows):
+    df = rows("t string, n int, d decimal(10,2), ok boolean", ("12", 1, D(1), True), ("abc", None, None, None), (None, 2, D(2), False))
+    out = {r.column_name: r for r in Q.column_profile(df).collect()}
+    assert (out["t"].target_type, out["t"].longest, out["t"].nulls, out["t"].numbers) == ("TEXT", 3, 1, 1)
+    assert (out["n"].target_type, out["n"].longest, out["n"].nulls, out["n"].numbers) == ("INTEGER", None, 1, 2)
+    assert out["d"].target_type == "NUMERIC" and out["ok"].target_type == "BOOLEAN" and out["ok"].numbers == 0
+
+
+def test_profile_of_no_rows_keeps_types(spark):
+    out = {r.column_name: r.target_type for r in Q.column_profile(spark.createDataFrame([], "a bigint, b string")).collect()}
+    assert out == {"a": "BIGINT", "b": "TEXT"}
+
+
+def test_widths(rows):
+    df = rows("a string, b string, c string", ("x", "y" * 60, None), ("xx", "y" * 3000, None))
+    assert {r.column_name: r.width for r in Q.varchar_widths(df).collect()} == {"a": 100, "b": 4000, "c": 100}
+
+
+def test_type_map(rows):
+    df = rows("t string", ("NUMBER",), ("UROWID",), ("XMLTYPE",), (None,))
+    assert sorted(one(Q.mapped_types(df, "t", "stored"), "stored"), key=str) == ["NUMERIC", None, None, "VARCHAR(4000)"]
+    assert len(Q.TYPE_MAP) == 21
+
+
+def test_validation_ladder(rows):
+    df = rows("i int, t string", (1, None), (2, ""), (3, " \n"), (4, "selected rows"), (5, "x SeLeCt y"), (6, "éselect"))
+    assert one(Q.validated(df, "t", "SELECT").orderBy("i"), "message") == ["missing", "empty", "blank", "no keyword", "ok", "no keyword"]
+    report = {r.message: (r.valid, r.texts) for r in Q.validation_report(df, "t", "SELECT").collect()}
+    assert report["no keyword"] == (False, 2) and report["ok"] == (True, 1)
+
+
+def test_missing_fields(rows):
+    df = rows("i int, a string, b int", (1, "x", 1), (2, "", 1), (3, None, None))
+    assert one(Q.missing_fields(df, ["a", "b"], "m").orderBy("i"), "m") == ["", "a", "a;b"]
+
+
+def test_scrub(rows):
+    text = "-- head\nSET echo off;\n/* a\nb */ SELECT 1, 'x'\n\n  \nFROM t -- tail\nwhenever sqlerror exit;\nSPOOL a.txt;\nPROMPT hi;\n"
+    assert one(rows("t string", (text,)), scrubbed("t")) == ["SELECT 1, 'x'\nFROM t"]
+
+
+def test_qualified_references(rows):
+    text = "FROM nota n LEFT JOIN  pedido p JOIN erp.nota x, notas"
+    assert one(rows("t string", (text,)), qualified_tables("t", "erp", ["nota", "pedido"])) == [
+        "FROM erp.nota n LEFT JOIN erp.pedido p JOIN erp.nota x, notas"]
+    assert one(rows("t string", ("CFO, erp.CFO, XCFO, CFO_1, CFO",)), qualified_names("t", "erp", ["CFO"])) == [
+        "erp.CFO, erp.CFO, XCFO, CFO_1, erp.CFO"]
+
+
+def test_references_and_access(rows, spark):
+    text = "SELECT * FROM erp.nota n JOIN erp.Pedido p, TABLE(erp.delivered(1)) -- FROM erp.hidden\nFROM erp.nota /* JOIN erp.gone */"
+    refs = scripts.script_references(rows("text string", (text,), ("nothing",)), "erp")
+    assert sorted(map(tuple, refs.collect())) == [("functions", "DELIVERED"), ("tables", "NOTA"), ("tables", "PEDIDO")]
+    catalog = rows("name string, kind string", ("NOTA", "VIEW"), ("NOTA", "TABLE"), ("DELIVERED", "FUNCTION"), ("PEDIDO", "TRIGGER"))
+    checked = Q.access_check(refs, catalog)
+    assert {r.object_name: r.found_type for r in checked.collect()} == {"NOTA": "TABLE", "DELIVERED": "FUNCTION", "PEDIDO": None}
+    report = {r.requested_type: (r.total, r.accessible, r.missing, r.complete) for r in Q.access_report(checked).collect()}
+    assert report == {"tables": (2, 1, 1, False), "functions": (1, 1, 0, True)}
+
+
+def test_script_names(rows):
+    names = ["a.sql", "TEST_x.sql", "x_Test.sql", "backup1.sql", "x_backup.sql", "x.bak.sql", "a.SQL", "a.txt", "my_tests.sql"]
+    df = rows("n string", *[(n,) for n in names])
+    assert one(df.where(selected_name("n")), "n") == ["a.sql", "my_tests.sql"]
+    assert one(rows("p string", ("/x/My.Report.sql",), ("plain",)), target_name("p", "P_", "_S")) == ["p_my.report_s", "p_plain_s"]
+
+
+def test_refresh_keeps_structure_and_counts(rows, spark, tmp_path):
+    folder = str(tmp_path)
+    first = full_refresh(rows("`Id` int, `Na me` string", (1, "a"), (2, "b")), "t_refresh", folder)
+    assert (first.rows, first.created) == (2, True) and spark.table("t_refresh").columns == ["id", "na_me"]
+    second = full_refresh(rows("na_me string, id string, more int", ("c", "3", 1)), "t_refresh", folder)
+    assert (second.rows, second.created) == (1, False)
+    assert [tuple(r) for r in spark.table("t_refresh").collect()] == [(3, "c")]
+    assert append(rows("na_me string, id int", ("d", 4)), "t_refresh").rows == 1
+    assert sorted(map(tuple, spark.table("t_refresh").collect())) == [(3, "c"), (4, "d")]
+    assert full_refresh(rows("id int, na_me string"), "t_refresh", folder).rows == 0
+    assert spark.table("t_refresh").count() == 0
+    info = table_info(spark, "t_refresh").orderBy("position").collect()
+    assert [(r.column_name, r.column_type, r.row_count) for r in info] == [("id", "int", 0), ("na_me", "string", 0)]
+
+
+def test_failed_refresh_leaves_the_old_rows(rows, spark, tmp_path):
+    full_refresh(rows("id int", (1,)), "t_failed", str(tmp_path))
+    with pytest.raises(Exception):
+        full_refresh(rows("id string", ("x",)), "t_failed", str(tmp_path))
+    with pytest.raises(ValueError, match="missing"):
+        full_refresh(rows("other int", (1,)), "t_failed", str(tmp_path))
+    assert [r.id for r in spark.table("t_failed").collect()] == [1]
+
+
+def test_table_may_be_refreshed_from_itself(rows, spark, tmp_path):
+    full_refresh(rows("id int", (1,), (2,)), "t_self", str(tmp_path))
+    full_refresh(spark.table("t_self").where("id > 1"), "t_self", str(tmp_path))
+    assert [r.id for r in spark.table("t_self").collect()] == [2]
+
+
+def test_run_totals(rows, spark):
+    runs = rows("dataset string, succeeded boolean, records bigint", ("a", True, 10), ("b", False, 0), ("c", True, 5), ("d", True, 0))
+    assert tuple(Q.run_totals(runs).first()) == (3, 4, 15, 1, False, 75.0)
+    assert tuple(Q.run_totals(runs.where("false")).first()) == (0, 0, 0, 0, True, 0.0)
+
+
+def test_refresh_of_scripts(rows, spark, tmp_path):
+    folder = tmp_path / "sql"
+    folder.mkdir()
+    for name, text in {
+        "Good.sql": "-- ids\nSELECT id, 'x' AS label FROM script_rows;", "bad.sql": "SELECT nothing FROM nowhere",
+        "empty.sql": "", "note.sql": "just text", "test_skip.sql": "SELECT 1 AS one", "readme.txt": "SELECT 1",
+    }.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    rows("id int", (1,), (2,)).createOrReplaceTempView("script_rows")
+    found = scripts.scripts(spark, str(folder), prefix="s_")
+    assert one(found, "table_name") == ["s_good", "s_bad", "s_empty", "s_note"]
+    assert {r["name"]: r["message"] for r in scripts.checked_scripts(found).collect()} == {
+        "Good.sql": "ok", "bad.sql": "ok", "empty.sql": "empty", "note.sql": "no keyword"}
+    runs = {r.dataset: r for r in registry.refresh_scripts(spark, found, str(tmp_path / "out"), run_log="t_script_log").collect()}
+    assert runs["s_good"].succeeded and runs["s_good"].records == 2 and not runs["s_bad"].succeeded
+    assert not runs["s_empty"].succeeded and "not valid" in runs["s_note"].message
+    assert sorted(r.id for r in spark.table("s_good").collect()) == [1, 2] and not table_exists(spark, "s_bad")
+    registry.refresh_scripts(spark, found, str(tmp_path / "out"), run_log="t_script_log")
+    assert spark.table("t_script_log").count() == 8
+    assert scripts.run_script(spark, " -- nothing\n") is None
+
+
+def test_refresh_of_datasets(spark, tmp_path):
+    tables = load_tables(spark, lambda name, ddl: spark.createDataFrame([], ddl))
+    register_views(tables, "erp_")
+    assert spark.table("erp_nota").columns[0] == "npre_not" and len(tables) == len(ERP_TABLES)
+    runs = registry.refresh_datasets(spark, tables, str(tmp_path), ["customers", "users"])
+    assert sorted((r.dataset, r.succeeded, r.records) for r in runs.collect()) == [("customers", True, 0), ("users", True, 0)]
+    assert spark.table("customers").columns[3] == "cpf_cnpj"
+
+
+def test_tables_from_a_folder(spark, tmp_path):
+    for name, ddl in ERP_TABLES.items():
+        spark.createDataFrame([], ddl).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = load_tables(spark, str(tmp_path))
+    assert registry.DATASETS["stores"](tables).count() == 0 and len(registry.DATASETS) == 9
+
+
+def test_jdbc_options():
+    assert jdbc.query_options("SELECT 1 FROM x;\n")["query"] == "SELECT 1 FROM x"
+    options = jdbc.table_options("erp.nota", "npre_not", 1, 100, 8)
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "100", "8")
+    assert jdbc.write_options("t")["batchsize"] == "1000" and jdbc.write_options("t")["truncate"] == "true"
+    assert jdbc.read_query(None, {}, "  ") is None
+    with pytest.raises(ValueError):
+        jdbc.table_options("t", "c", 0, 1, 0)
+
+
+class FakeSession:
+    """Just what work_folder reads of a session."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+        self.conf = conf
+
+
+def test_work_folder_is_the_configured_one(spark):
+    assert work_folder(FakeSession("yarn", **{"spark.checkpoint.dir": "hdfs://shared/work/"})) == "hdfs://shared/work"
+    with pytest.raises(RuntimeError, match="shared folder"):
+        work_folder(FakeSession("yarn"))
+    folder = work_folder(FakeSession("local[4]"))
+    assert folder.startswith("/tmp/run-") and work_folder(FakeSession("local[4]")) == folder
+    assert apply_settings(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
