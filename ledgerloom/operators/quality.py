@@ -142,12 +142,13 @@ def missing_fields(df: DataFrame, required: Sequence[str], name: str) -> DataFra
 def references(df: DataFrame, text: str, patterns: Mapping[str, Sequence[str]]) -> DataFrame:
     """Different (kind, name) pairs found in a text column; the first group of a pattern is the name."""
     def found(kind: str, pattern: str) -> Column:
-        names = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
+        # Repeats within one text go first, so a text that names one object a million times sends
+        # one row. Done on the plain names: for structs the same function compares all pairs.
+        names = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)))
         return F.transform(names, lambda name: F.struct(F.lit(kind).alias("kind"), name.alias("name")))
 
     entries = [found(kind, pattern) for kind, listed in patterns.items() for pattern in listed]
-    # Repeats within one text go first, so a text that names one object a million times sends one row.
-    return df.select(F.inline(F.array_distinct(F.concat(*entries)))).distinct()
+    return df.select(F.inline(F.concat(*entries))).distinct()
 
 
 # Kinds of catalog objects, the one that wins first.
