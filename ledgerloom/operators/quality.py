@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import code_label
 from ledgerloom.functions.text import contains_word
 from ledgerloom.operators.joins import lookup, totals_by
 
@@ -110,9 +111,12 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def mapped_types(df: DataFrame, declared: str, name: str) -> DataFrame:
-    """Add the target type of a declared source type; NULL for a type that is not mapped."""
-    types = df.sparkSession.createDataFrame(list(TYPE_MAP.items()), "source_type string, target_type string")
-    return lookup(df, types, {declared: "source_type"}, {name: "target_type"})
+    """Add the target type of a declared source type; NULL for a type that is not mapped.
+
+    The map is short and fixed, so it is an expression: a join would shuffle the rows by a
+    handful of type names.
+    """
+    return df.withColumn(name, code_label(declared, TYPE_MAP))
 
 
 def validated(df: DataFrame, text: str, keyword: str) -> DataFrame:

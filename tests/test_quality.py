@@ -3,7 +3,6 @@
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import (
