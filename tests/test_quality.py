@@ -3,6 +3,7 @@
 from decimal import Decimal as D
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import (
@@ -14,6 +15,7 @@ from ledgerloom.functions.text import (
 )
 from ledgerloom.operators import quality as Q
 from ledgerloom.plans import registry
+from ledgerloom.queries.standin import ErpTables
 from ledgerloom.session import apply_settings, work_folder
 from ledgerloom.sinks.tables import append, full_refresh, table_exists, table_info
 from ledgerloom.sources import jdbc, scripts
@@ -179,6 +181,25 @@ def test_tables_from_a_folder(spark, tmp_path):
         spark.createDataFrame([], ddl).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
     tables = load_tables(spark, str(tmp_path))
     assert registry.DATASETS["stores"](tables).count() == 0 and len(registry.DATASETS) == 9
+    # the date span of the fact reports is a filter of the header scans
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    scans = str(registry.DATASETS["invoicing"](tables)._jdf.queryExecution().executedPlan().toString())
+    for day in ("demi_not", "drec_nfe", "data_cds"):
+        assert f"GreaterThanOrEqual({day},2024-01-01)" in scans and f"LessThanOrEqual({day},2030-12-31)" in scans
+    assert "EqualTo(situ_not,5)" in scans and "EqualTo(codi_pto,102)" in scans
+    assert "GreaterThanOrEqual(demi_ped,2024-01-01)" in str(registry.DATASETS["order_backlog"](tables)._jdf.queryExecution().executedPlan())
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_refresh_of_all_nine(spark, tmp_path):
+    tables, span = ErpTables(spark, SMALL), ("1995-01-01", "2030-12-31")
+    facts = {"invoicing", "order_backlog"}
+    jobs = [(n, lambda n=n: registry.DATASETS[n](tables, *(span if n in facts else ()))) for n in registry.DATASETS]
+    runs = registry.refresh(spark, jobs, str(tmp_path), run_log="t_run_log")
+    assert tuple(Q.run_totals(runs).select("processed", "total", "errors").first()) == (9, 9, 0)
+    loaded = {r.dataset: r.records for r in spark.table("t_run_log").collect()}
+    assert all(spark.table(n).count() == rows and rows > 0 for n, rows in loaded.items())
+    assert spark.table("invoicing").schema["margem"].dataType.simpleString() == "decimal(16,2)"
 
 
 def test_jdbc_options():
