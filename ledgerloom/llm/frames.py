@@ -57,22 +57,27 @@ def steps(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, b - a)
 
 
-def with_computed(df: DataFrame, ddl: str, compute: Callable[[pa.Array], Sequence], text: str = "text") -> DataFrame:
-    """df with the columns of the DDL; compute maps an array of texts to one array per column."""
+def with_computed(df: DataFrame, ddl: str, compute: Callable[..., Sequence], text: str = "text",
+                  also: Sequence[str] = (), keep: Sequence[str] | None = None) -> DataFrame:
+    """df with the columns of the DDL; compute maps the texts (and the other columns named) to one array per column.
+
+    keep names the columns of df to return, if not all are wanted.
+    """
     added = T.StructType.fromDDL(ddl)
-    kept = df.drop(*added.names)
-    schema = T.StructType(kept.schema.fields + added.fields)
+    new = {c.lower() for c in added.names}
+    fields = [f for f in df.schema.fields if f.name.lower() not in new and (keep is None or f.name in keep)]
+    needed = [c for c in df.columns if c in {text, *also, *(f.name for f in fields)}]
+    schema, names = T.StructType(fields + added.fields), [f.name for f in fields + added.fields]
+    own = [needed.index(f.name) for f in fields]
 
     def run(batches):
         for batch in batches:
             for part in steps(batch, text):
-                found = compute(part.column(part.schema.get_field_index(text)))
+                found = compute(*(part.column(part.schema.get_field_index(c)) for c in (text, *also)))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *(x if isinstance(x, pa.Array) else pa.array(x) for x in found)],
-                    names=[*part.schema.names, *added.names],
-                )
+                    [*(part.column(i) for i in own), *(x if isinstance(x, pa.Array) else pa.array(x) for x in found)], names=names)
 
-    return kept.mapInArrow(run, schema)
+    return df.select([F.col(f"`{c}`") for c in needed]).mapInArrow(run, schema)
 
 
 def texts_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,26 +2,137 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import idstore, packing
-from ledgerloom.llm.frames import shared_path, table
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, perplexity, quality, rollups
+from ledgerloom.llm.frames import shared_path, stored, table
 from ledgerloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(function):
-    QUERIES[function.__name__] = function
-    return function
+def query(sql: str | None = None):
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def _escaped_length(column: str) -> str:
+    controls = r"(<|\[)(/?s>|image>|audio>|document>|/?INST\])"
+    return rf"length(regexp_replace(regexp_replace({column}, '\\', '\\\\', 'g'), '{controls}', '\1\\\2', 'g'))"
+
+
+_CONTROLS_ONLY = "</s>[INST] ok [/INST]"
 
 
-@query
+@query(f"""
+WITH message AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{_CONTROLS_ONLY}'), (-7, 1, 'assistant', '{_CONTROLS_ONLY}'))
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum({_escaped_length("role")} + {_escaped_length("text")} + {len(chat.TURN + chat.BODY + chat.BODY_END + chat.TURN_END)}) AS BIGINT) AS formatted_chars
+FROM message GROUP BY conv_id
+""")
+def op1_chat_formatting(spark, sf_dir):
+    messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    controls = spark.createDataFrame([(-7, k, role, _CONTROLS_ONLY) for k, role in enumerate(("user", "assistant"))], messages.schema)
+    texts = messages.unionByName(controls).withColumn("content", chat.text_part(F.coalesce("text", F.lit(""))))
+    formatted = F.col("formatted")
+    loss, turns = chat.read_loss(formatted, F.col("loss_spans")), chat.read_turns(formatted)
+    lines = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chat.formatted_chats(texts).select(
+        "conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.char_length(formatted).cast("long").alias("formatted_chars"),
+    )
+
+
+@query()
 def op2_id_store(spark, sf_dir):
     path = shared_path(spark, "ids")
     idstore.write_ids(table(spark, sf_dir, "documents"), path, vocabulary(), end_id=2)
     return idstore.read_ids(spark, path)
 
 
-@query
+@query()
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary(), end_id=1))
+
+
+# Two tokenizer versions whose counts SQL can repeat: words between white space, and pieces of words.
+_SPACED, _PIECES = "[^\\x20\\x09-\\x0D]+", "[A-Za-z\\x{80}-\\x{10FFFF}]+|[0-9]|[!-/:-@\\[-`{-~]"
+
+
+@query(f"""
+SELECT source, lang, 'pieces-2' AS version, count(*) AS n_docs,
+    CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{_PIECES}'))) AS BIGINT) AS n_tokens
+FROM documents WHERE len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) >= 10 GROUP BY source, lang
+""")
+def op6_token_rollup(spark, sf_dir):
+    """All documents are counted by one version, recounted by the next (a batch that comes twice), short ones deleted."""
+    text = F.coalesce("text", F.lit(""))
+    counts = stored(table(spark, sf_dir, "documents").select(
+        "source", "lang", F.regexp_count(text, F.lit(_SPACED)).alias("spaced"), F.regexp_count(text, F.lit(_PIECES)).alias("pieces")), "counts")
+    first, second = (rollups.counted("source", "lang", *v) for v in (("spaced-1", "spaced"), ("pieces-2", "pieces")))
+    store = rollups.RollupStore(spark, shared_path(spark, "rollup"))
+    recount = counts.select(first.alias("before"), second.alias("after"))
+    store.commit("load", counts.select(rollups.no_side().alias("before"), first.alias("after")))
+    store.commit("recount", recount)
+    store.commit("recount", recount)
+    store.commit("short", counts.filter("spaced < 10").select(second.alias("before"), rollups.no_side().alias("after")))
+    return store.totals()
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH item AS (SELECT item_id, w, least(len(w), 13) AS size FROM (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+item_window AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM item)),
+doc AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+doc_window AS (
+    SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM item) WHERE len(w) >= size)),
+hit AS (SELECT doc_id, i, size, item_id FROM doc_window JOIN item_window USING (size, win)),
+hit_words AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hit) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""")
+def op8_decontamination(spark, sf_dir):
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return decontamination.scan(documents, benchmark, keep=("doc_id",)).select(
+        "doc_id", "n_words", decontamination.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"), decontamination.contaminated().alias("contaminated"),
+    )
+
+
+@query()
+def op5_quality_rules(spark, sf_dir):
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *quality.COUNTS, "base_failed", "kept", "score")
+
+
+@query()
+def op7_probminhash(spark, sf_dir):
+    found = neardups.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "group_id", "kept")
+
+
+@query()
+def op9_kneser_ney(spark, sf_dir):
+    return perplexity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -126,3 +126,19 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
 def per_document(weights: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """Sum of integer weights per document index."""
     return np.bincount(doc, weights=weights, minlength=n).astype(np.int64)
+
+
+def joined_words(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words with one blank after each, and where each word begins and ends there."""
+    lengths = words.end - words.start
+    end = np.cumsum(lengths + 1) - 1
+    begin = end - lengths
+    out = np.full(int(end[-1]) + 1 if len(end) else 0, 32, np.uint8)
+    at = np.repeat(begin - words.start, lengths) + (inside := np.repeat(words.start - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum()))
+    out[at] = words.data[inside]
+    return out.tobytes(), begin, end
+
+
+def code_points(data: np.ndarray) -> np.ndarray:
+    """Number of code points before each byte, and after the last one."""
+    return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
