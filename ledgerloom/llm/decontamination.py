@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.frames import steps, stored, with_computed
+from ledgerloom.llm.frames import set_aside, steps, stored, with_computed
 from ledgerloom.llm.words import PLAIN, code_points, joined_words, split_words, text_bytes
 
 WINDOW, BLOCK_WINDOWS = 13, 1 << 18
@@ -156,19 +156,21 @@ def contaminated(share: int = 20) -> Column:
     return (n_hit() > 0) & (share * n_hit() >= F.col("n_words"))
 
 
-def without_documents(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+def without_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:
     """docs without the contaminated ones, with their own columns."""
-    return scan(docs, benchmark, **names).filter(~contaminated()).select(docs.columns)
+    own, renamed, back = set_aside(docs)
+    return back(scan(own, benchmark, text=renamed[text], **names).filter(~contaminated()))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:
     """docs with the characters from the first to the last word of every hit run cut out."""
-    found = scan(docs, benchmark, text=text, **names)
-    column = F.coalesce(F.col(text), F.lit(""))
+    own, renamed, back = set_aside(docs)
+    found = scan(own, benchmark, text=renamed[text], **names)
+    column = F.coalesce(F.col(renamed[text]), F.lit(""))
     cuts = F.concat(F.array(F.lit(0).cast("long")), F.flatten(F.transform("words_hit", lambda r: F.array(r["begin_char"], r["end_char"]))),
                     F.array(F.char_length(column).cast("long")))
     kept = F.array_join(F.transform(
         F.sequence(F.lit(0), F.size("words_hit")),
         lambda k: F.substring(column, (cuts[2 * k] + 1).cast("int"), (cuts[2 * k + 1] - cuts[2 * k]).cast("int")),
     ), "")
-    return found.withColumn(text, F.when(F.size("words_hit") > 0, kept).otherwise(F.col(text))).select(docs.columns)
+    return back(found.withColumn(renamed[text], F.when(F.size("words_hit") > 0, kept).otherwise(F.col(renamed[text]))))

@@ -80,6 +80,16 @@ def with_computed(df: DataFrame, ddl: str, compute: Callable[..., Sequence], tex
     return df.select([F.col(f"`{c}`") for c in needed]).mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """df with columns c0, c1, ..., the new name of each, and what gives rows their own columns back.
+
+    So an operator's columns cannot clash with columns that only pass through.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    renamed = df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return renamed, names, lambda found: found.select([F.col(n).alias(c) for c, n in names.items()])
+
+
 def texts_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, null as empty."""
     return df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.frames import steps, stored, texts_of, with_computed
+from ledgerloom.llm.frames import set_aside, stored, texts_of, with_computed
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.words import PLAIN, Words, mixed, split_words
 
@@ -197,9 +197,10 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str =
     """One document of each group, with the columns of docs."""
     found = near_duplicates(docs, similarity, doc_id, text).filter("kept").groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
     kept = stored(found.select(F.struct("doc_id", "digest").alias("near_key"), "n"), "kept")
-    keyed = docs.withColumn("near_text", F.coalesce(F.col(text), F.lit(""))).withColumn(
-        "near_key", F.struct(F.col(doc_id).alias("doc_id"), text_digest("near_text").alias("digest")))
+    own, names, back = set_aside(docs)
+    whole = own.withColumn("whole", F.coalesce(F.col(names[text]), F.lit("")))
+    keyed = whole.withColumn("near_key", F.struct(F.col(names[doc_id]).alias("doc_id"), text_digest("whole").alias("digest"))).drop("whole")
     left = keyed.join(kept.select("near_key"), "near_key", "left_semi")
     if not kept.filter("n > 1").isEmpty():  # rows that repeat id and text
         left = left.dropDuplicates(["near_key"])
-    return left.select(docs.columns)
+    return back(left)

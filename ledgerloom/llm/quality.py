@@ -72,7 +72,7 @@ def _distinct(keys: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 def _line_counts(data: np.ndarray, offsets: np.ndarray, word_at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Lines with a word, and those of them that equal an earlier one of their document."""
     breaks = np.flatnonzero(data == 10)
-    start = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    start = np.unique(np.concatenate([offsets[:-1], breaks + 1]))  # empty texts and last lines share theirs
     doc = np.searchsorted(offsets[1:], start, side="right")
     filled = doc < n  # a line that begins where the last text ends is empty
     start, doc = start[filled], doc[filled]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, perplexity, quality, rollups
-from ledgerloom.llm.frames import shared_path, stored, table
+from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, perplexity, pii, quality, rollups, toxicity
+from ledgerloom.llm.frames import held_out, shared_path, stored, table
 from ledgerloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -136,3 +136,17 @@ def op7_probminhash(spark, sf_dir):
 @query()
 def op9_kneser_ney(spark, sf_dir):
     return perplexity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op3_toxicity(spark, sf_dir):
+    found = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=("doc_id",))
+    return found.select("doc_id", held_out().alias("held_out"), "score", toxicity.rejected().cast("int").alias("predicted"))
+
+
+@query()
+def op10_personal_data(spark, sf_dir):
+    found = pii.found_spans(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
