@@ -95,6 +95,19 @@ def texts_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def least_hashed(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """At most `rows` rows, those of the least hash of a column: a sample that stays the same.
+
+    Only about as many rows as are wanted are sorted: the rest is left out by the hash alone.
+    """
+    n, top = df.count(), 1 << 32
+    place = F.pmod(F.xxhash64(column), F.lit(top))
+    if n > rows:
+        share = (rows + 6 * rows ** 0.5 + 50) / n
+        df = df.filter(place < int(min(1.0, share) * top))
+    return df.orderBy(place, *df.columns).limit(rows)
+
+
 def learning_row(doc_id: str = "doc_id"):
     """Rows that a model may learn labels from; the rest are held out."""
     return ~held_out(doc_id)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.frames import set_aside, steps, texts_of, with_computed
+from ledgerloom.llm.frames import least_hashed, set_aside, steps, texts_of, with_computed
 from ledgerloom.llm.tagger import KINDS, PAD, Tagger, begin_label, classes
 
 WINDOW, STRIDE, LEAST_DIGITS = 80, 40, 4
@@ -235,7 +235,7 @@ def _spliced(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
 def learned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagger | None:
     """A tagger of the windows of LEARN_DOCS documents, those of the least hash of their id."""
     plain = texts_of(docs, doc_id, text)
-    some = plain.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_DOCS).distinct()
+    some = least_hashed(plain.select("doc_id"), "doc_id", LEARN_DOCS).distinct()
 
     def cut(batches):
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.frames import learning_row, stored, with_computed
+from ledgerloom.llm.frames import learning_row, least_hashed, stored, with_computed
 from ledgerloom.llm.words import SPACED, code_points, mixed, per_document, span_hashes, split_words, text_bytes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -218,7 +218,7 @@ def judged(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     found = stored(with_computed(plain, STATISTICS, statistics, keep=("doc_id",)), "statistics")
     learn_from = learning_row() if learn_from is None else learn_from
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(learn_from & F.col("label").isin(0, 1))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    sample = least_hashed(known, "doc_id", rows)
     learned = found.join(sample, "doc_id").select("label", *RATIOS).toPandas()
     trees = grown_trees(learned[list(RATIOS)].to_numpy(), learned["label"].to_numpy())
     if trees is None:

@@ -148,5 +148,9 @@ def op3_toxicity(spark, sf_dir):
 def op10_personal_data(spark, sf_dir):
     found = pii.found_spans(table(spark, sf_dir, "documents"), keep=("doc_id",))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+
+    def of(kind):
+        return F.filter(base, lambda s: s["kind"] == kind)
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.frames import learning_row, set_aside, steps, stored, texts_of, with_computed
+from ledgerloom.llm.frames import learning_row, least_hashed, set_aside, steps, stored, texts_of, with_computed
 from ledgerloom.llm.words import PLAIN, Words, code_points, mixed, span_hashes, split_words, text_bytes
 
 LEARN_ROWS, CANDIDATES, MOST_FEATURES = 20_000, 1 << 17, 4096
 LEAST_DOCUMENTS, LEAST_Z = 3, 3.0
 BEGINNINGS = (5, 6, 7, 8, 10)  # bytes
-ROUNDS, RATE, PENALTY, FIRST_BIAS, LEAK = 400, 0.05, 2e-4, -1.5, 1e-3
+ROUNDS, RATE, PENALTY, FIRST_BIAS, LEAK = 400, 0.05, 5e-5, -1.5, 1e-3
 THRESHOLD, OFFENDING = 0.7, 0.3
 
 _ENDS = np.zeros(256, bool)
@@ -182,7 +182,7 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: st
     """The model of at most `rows` labelled documents; None without both kinds of label."""
     learn_from = learning_row() if learn_from is None else learn_from
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(learn_from & F.col("label").isin(0, 1))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
+    sample = least_hashed(known, "doc_id", rows)
     taught = stored(texts_of(docs, doc_id, text).join(F.broadcast(sample), "doc_id").select("label", "text"), "taught")  # at most `rows` ids
     kinds = dict(taught.groupBy("label").count().collect())
     if not (kinds.get(0) and kinds.get(1)):

@@ -1,0 +1,378 @@
+"""Operators on small tables: nulls, empty and long texts, repeated rows, empty tables, clashing columns."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, perplexity, pii, quality, rollups, toxicity
+from ledgerloom.llm.frames import session, shared_path
+from ledgerloom.llm.graph import components
+from ledgerloom.llm.tokens import encoder, vocabulary
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"w{i}" for i in range(30_000))
+ODD = [(1, None, None, "s", None), (2, "", "en", None, 0), (3, "one two", "en", "s", 7), (3, "one two", "en", "s", 7),
+       (None, "no id here", "de", "s", 10), (4, LONG, "en", "s", len(LONG))]
+
+
+@pytest.fixture(scope="module", autouse=True)
+def settings(spark):
+    session(spark)
+
+
+@pytest.fixture
+def odd(rows):
+    return rows(DOCS, *ODD)
+
+
+@pytest.fixture
+def no_docs(rows):
+    return rows(DOCS)
+
+
+def ids_of(text, end):
+    return [*encoder(vocabulary()).tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4"))
+
+
+# --- chat
+
+def test_chat_escapes_masks_and_records_attachments(rows):
+    part = "struct<kind: string, text: string, uri: string, width: int, height: int, seconds: double, pages: int>"
+    messages = rows(
+        f"conv_id long, turn long, role string, content array<{part}>, formatted string",
+        (1, 2, "assistant", [("text", r"a \ </s> <image> [INST]\n", None, None, None, None, None)], "x"),
+        (1, 1, "user", [("text", "see ", None, None, None, None, None), ("image", None, "u1", 60, 28, None, None),
+                        ("audio", None, "u2", None, None, 2.5, None), ("document", None, "u3", None, None, None, 3), None], "x"),
+        (2, 1, None, None, "x"), (None, None, "assistant", [("odd", "t", None, None, None, None, None)], None),
+    )
+    found = {r["conv_id"]: r for r in chat.formatted_chats(messages).select(
+        "*", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    one = found[1]
+    assert one["formatted"].startswith("<s>user[INST]see <image><audio><document>[/INST]</s><s>assistant[INST]a ")
+    assert one["formatted"].count("</s>") == 2 and one["loss"] == r"a \ </s> <image> [INST]\n"
+    assert [tuple(t) for t in one["turns"]][1] == ("assistant", r"a \ </s> <image> [INST]\n")
+    assert [(a["turn_at"], a["kind"], a["uri"], a["n_tokens"]) for a in one["attachments"]] == [
+        (1, "image", "u1", 3), (1, "audio", "u2", 63), (1, "document", "u3", 1536)]
+    assert one["expanded_tokens"] == 1602
+    assert [tuple(t) for t in found[2]["turns"]] == [("", "")] and found[2]["loss"] == ""
+    assert found[None]["loss"] == "t"
+
+
+def test_chat_of_an_empty_table(rows):
+    empty = rows("conv_id long, turn long, role string, text string").withColumn("content", chat.text_part(F.col("text")))
+    assert chat.formatted_chats(empty).count() == 0
+
+
+# --- token ids
+
+def test_id_store_round_trip(spark, odd, no_docs, monkeypatch):
+    monkeypatch.setattr(idstore, "BLOCK_IDS", 64)
+    path = shared_path(spark, "ids")
+    idstore.write_ids(odd, path, vocabulary(), end_id=2)
+    found = [tuple(r) for r in idstore.read_ids(spark, path).orderBy("start").collect()]
+    expected, start = [], 0
+    for doc, text, *_ in sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0)):
+        own = ids_of(text, 2)
+        expected.append((doc, start, len(own), crc(own)))
+        start += len(own)
+    assert found == expected
+    path = shared_path(spark, "ids")
+    idstore.write_ids(no_docs, path, vocabulary(), end_id=2)
+    assert idstore.read_ids(spark, path).count() == 0
+
+
+# --- packing
+
+def test_pieces_are_whole_and_packed_without_gaps(odd, no_docs):
+    pieces = packing.token_pieces(odd, vocabulary(), end_id=1, capacity=512)
+    found = packing.pack(pieces, 512).toPandas()
+    whole = {}
+    for doc, text, *_ in ODD:
+        own = ids_of(text, 1)
+        whole[doc] = [(k, a, len(own[a:a + 512]), crc(own[a:a + 512])) for k, a in enumerate(range(0, len(own), 512))]
+    for doc, own in found.groupby("doc_id", dropna=False):
+        doc = None if doc != doc else doc
+        rows = sorted(set(own[["piece", "start", "length", "ids_crc32"]].itertuples(index=False, name=None)))
+        assert rows == whole[doc] and len(own) == len(rows) * (2 if doc == 3 else 1)
+    for _, own in found.sort_values("offset").groupby("sequence_id"):
+        assert (own["offset"] == own["length"].cumsum() - own["length"]).all() and own["length"].sum() <= 512
+    assert found["sequence_id"].nunique() == math.ceil(found["length"].sum() / 512)
+    assert packing.pack(packing.token_pieces(no_docs, vocabulary(), end_id=1)).count() == 0
+
+
+def test_many_groups_leave_few_sequences_underfull(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    lengths = np.random.default_rng(4).integers(1, 900, 1000)
+    pieces = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "doc_id long, length long")
+    found = packing.pack(pieces, 1024).toPandas()
+    assert len(found) == 1000 and found["doc_id"].is_unique
+    assert found.groupby("sequence_id")["length"].sum().max() <= 1024
+    assert found["sequence_id"].nunique() <= 1.02 * lengths.sum() / 1024 + 1
+
+
+# --- near duplicates
+
+def test_near_duplicates_on_odd_rows(odd, no_docs):
+    found = [(r["doc_id"], r["class_size"], r["kept"]) for r in neardups.near_duplicates(odd).collect()]
+    assert sorted(found, key=str) == sorted([(1, 2, True), (2, 2, False), (3, 2, True), (3, 2, True), (None, 1, True), (4, 1, True)], key=str)
+    kept = neardups.deduplicated(odd.withColumn("digest", F.lit("own")).withColumn("c0", F.lit(0)))
+    assert kept.columns == [*odd.columns, "digest", "c0"]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3, 4]
+    assert neardups.near_duplicates(no_docs).count() == 0
+
+
+def test_near_duplicates_agree_with_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    draw = np.random.default_rng(8)
+    texts = [" ".join(f"x{w}" for w in draw.integers(0, 10**6, 120)) for _ in range(12)]
+    more = []
+    for i, t in enumerate(texts):
+        words = t.split()
+        for k in range(6):  # chains: each copy differs from the one before by a few more words
+            words[5 * k + 3] = f"y{i}{k}"
+            more.append((100_000 + 10 * i + k, " ".join(words)))
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    found = {r["doc_id"]: r["group_id"] for r in neardups.near_duplicates(docs).collect()}
+
+    import re
+    own = {}
+    for r in docs.collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), r["text"]))
+        own[r["doc_id"]] = Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+    by_shingle = defaultdict(list)
+    for d, s in own.items():
+        for x in s:
+            by_shingle[x].append(d)
+    pairs = {(a, b) for docs_ in by_shingle.values() for a in docs_ for b in docs_ if a < b}
+    root = {d: d for d in own}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    def similarity(a, b):
+        total = 0.0
+        for d in own[a].keys() & own[b].keys():
+            total += 1 / sum(max(own[a][e] / own[a][d], own[b][e] / own[b][d]) for e in own[a].keys() | own[b].keys())
+        return total
+
+    for a, b in sorted(pairs):
+        if 2 * sum((own[a] & own[b]).values()) > 0.5 * (sum(own[a].values()) + sum(own[b].values())) and similarity(a, b) >= 0.8:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for d in own:  # texts without words are only equal to their copies
+        if not own[d]:
+            root[d] = min(e for e in own if text[e] == text[d])
+    assert {d: find(d) for d in own} == found
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 199), (200, 199)]
+    found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert found == {**{i: 0 for i in range(31)}, **{k: 100 for k in range(100, 140)}, 199: 199, 200: 199}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- decontamination
+
+def test_blocks_of_windows_give_the_same_hits(spark, odd, no_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    whole = decontamination.scan(docs, benchmark, keep=("doc_id",)).orderBy("doc_id").collect()
+    parts = decontamination.scan(docs, benchmark, keep=("doc_id",), block_windows=300).orderBy("doc_id").collect()
+    assert whole == parts and any(r["words_hit"] for r in whole)
+    assert decontamination.scan(odd, benchmark.limit(0)).filter(decontamination.contaminated()).count() == 0
+    assert decontamination.scan(no_docs, benchmark).count() == 0
+
+
+def test_spans_and_documents_are_removed(rows):
+    item = " ".join(f"k{i}" for i in range(20))
+    benchmark = rows("item_id long, text string", (5, item), (6, "Short, Item"), (7, None), (8, "!?"), (None, "without id"), (6, "short item"))
+    clean = " ".join(f"c{i}" for i in range(200))
+    docs = rows(
+        "doc_id long, text string, items string", (1, f"Äh {item.upper()}! {clean}", "i"), (2, f"{clean} short--ITEM, {clean}", "i"),
+        (3, clean, "i"), (4, None, "i"), (5, " ".join(f"k{i}" for i in range(12)), "i"), (6, "is without id", "i"))
+    hit = {r["doc_id"]: (r["n"], r["items"], r["bad"]) for r in decontamination.scan(docs, benchmark).select(
+        "doc_id", decontamination.n_hit().alias("n"), "items", decontamination.contaminated().alias("bad")).collect()}
+    assert hit == {1: (20, [5], True), 2: (2, [6], False), 3: (0, [], False), 4: (0, [], False), 5: (0, [], False), 6: (2, [], True)}
+    assert {r["doc_id"] for r in decontamination.without_documents(docs, benchmark).filter("items = 'i'").collect()} == {2, 3, 4, 5}
+    cut = {r["doc_id"]: r["text"] for r in decontamination.without_spans(docs, benchmark).collect()}
+    assert cut[1] == f"Äh ! {clean}" and cut[2] == f"{clean} , {clean}" and cut[3] == clean and cut[4] is None and cut[6] == "is "
+
+
+# --- quality rules
+
+def test_quality_without_labels_is_the_base(odd, no_docs, rows):
+    labels = rows("doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: (r["n_words"], r["base_failed"], r["kept"]) for r in quality.judged(odd, labels).collect()}
+    assert found == {1: (0, True, False), 2: (0, True, False), 3: (2, True, False), None: (3, True, False), 4: (30_000, False, True)}
+    assert quality.judged(no_docs, labels).count() == 0
+
+
+def test_quality_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.judged(docs, labels).join(labels, "doc_id").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    right = found.filter((F.col("quality") == 1) == (F.col("score") >= quality.THRESHOLD)).count()
+    assert right / found.count() > 0.95
+
+
+# --- perplexity
+
+def plain_kneser_ney(texts, order):
+    counts = Counter()
+    for t in texts:
+        codes = [0] * (order - 1) + [ord(c) + 1 for c in t]
+        counts.update(tuple(codes[i:i + order]) for i in range(len(codes) - order + 1))
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+
+    def p(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / (len(levels[1]) + 1)
+        n = Counter(levels[k].values())
+        d = perplexity.discounts([n[1], n[2], n[3], n[4]])
+        context = [(g, c) for g, c in levels[k].items() if g[:-1] == gram[:-1]]
+        if not context:
+            return p(gram[1:])
+        total = sum(c for _, c in context)
+        taken = sum(min(d[min(c, 3) - 1], c) for _, c in context)
+        own = levels[k][gram]
+        return (max(own - d[min(own, 3) - 1], 0) if own else 0) / total + taken / total * p(gram[1:])
+
+    return p
+
+
+def test_probabilities_are_those_of_plain_kneser_ney(spark, rows):
+    texts = ["the cat sat on the mat", "the cart at the art", "tattered hats", None, ""]
+    trusted = rows("text string", *((t,) for t in texts))
+    asked = rows("text string", ("a cat at the zoo",), ("thé",))
+    wanted = perplexity.gram_counts(asked).drop("c")
+    found = perplexity.probabilities(perplexity.gram_counts(trusted), wanted).collect()
+    p = plain_kneser_ney([t or "" for t in texts], perplexity.ORDER)
+    assert len(found) == 19
+    for r in found:
+        assert 2 ** r["log2p"] == pytest.approx(p(tuple(r[:-1]))), r
+
+
+def test_perplexity_by_blocks_equals_the_broadcast_one(spark, odd, no_docs, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(odd)
+    monkeypatch.setattr(perplexity, "BLOCK_CHARS", 100_000)
+
+    def values(**options):
+        return sorted(((str(r["doc_id"]), r["perplexity"] and round(r["perplexity"], 4), r["kept"]) for r in perplexity.scored(docs, labels, **options).collect()), key=str)
+
+    whole = values()
+    assert whole == values(broadcast_grams=10) and len(whole) == docs.count()
+    assert ("2", None, False) in whole
+    assert perplexity.scored(no_docs, labels).count() == 0
+    nothing = perplexity.scored(odd, labels.limit(0)).collect()
+    assert sum(r["kept"] for r in nothing) == 4
+
+
+# --- toxicity
+
+def test_toxicity_on_held_out_labels(spark, odd, no_docs):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.scored(docs, labels, keep=("doc_id",)).join(labels, "doc_id").filter(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).withColumn("said", toxicity.rejected())
+    counts = {(r["toxic"], r["said"]): r["count"] for r in found.groupBy("toxic", "said").count().collect()}
+    assert counts[1, True] / (counts[1, True] + counts.get((1, False), 0)) > 0.8  # one in ten labels of these tables has no ground in the text
+    assert counts.get((0, True), 0) / counts[0, False] < 0.01
+    assert [r["score"] for r in toxicity.scored(odd, labels.limit(0)).collect()] == [0.0] * len(ODD)
+    assert toxicity.without_toxic(odd.withColumn("score", F.lit(1)), labels).columns == [*odd.columns, "score"]
+    assert toxicity.scored(no_docs, labels).count() == 0
+
+
+# --- personal data
+
+def test_personal_data_is_found_and_masked(spark, no_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    numbers = "4111111111111111 5500005555555559"
+    own = spark.createDataFrame([(-1, f"é two cards {numbers} here", "en", "s", 1), (-2, None, "en", "s", None), (-3, "", "en", "s", 0),
+                                 (-4, "mail ab.c@d-e.org, +1 (504) 555-2652, 10.0.0.300 and 10.0.0.3", "en", "s", 0)], DOCS)
+    found = pii.found_spans(docs.unionByName(own)).collect()
+    for r in found:
+        assert [(s["begin"], s["end"], pii.KINDS.index(s["kind"])) for s in r["spans"] if s["base"]] == pii.base_spans(r["text"] or "")
+    spans = {r["doc_id"]: [(s["kind"], (r["text"] or "")[s["begin"]: s["end"]]) for s in r["spans"]] for r in found}
+    assert spans[-2] == spans[-3] == [] and set(spans[-1]) <= {("card", n) for n in numbers.split()}
+    assert spans[-4] == [("email", "ab.c@d-e.org"), ("phone", "+1 (504) 555-2652"), ("ip", "10.0.0.3")]
+    masked = {r["doc_id"]: r["text"] for r in pii.redacted(own).collect()}
+    assert masked[-4] == "mail [EMAIL], [PHONE], 10.0.0.300 and [IP]" and masked[-2] is None and masked[-3] == ""
+    assert pii.found_spans(no_docs).count() == 0
+
+
+# --- rollups
+
+def test_rollups_commit_once_and_add_up(spark, rows):
+    store = rollups.RollupStore(spark, shared_path(spark, "rollup"))
+    side = "struct<source: string, lang: string, version: string, n_tokens: long>"
+
+    def changes(*data):
+        return rows(f"before {side}, after {side}", *data)
+
+    def totals():
+        return {tuple(r)[:3]: tuple(r)[3:] for r in store.totals().collect()}
+
+    a, b = ("s", "en", "v1"), ("s", None, "v1")
+    assert store.commit("1", changes((None, (*a, 10)), (None, (*a, 10)), (None, (*b, None)), (None, None)))
+    assert totals() == {a: (2, 20), b: (1, 0)}
+    second = changes(((*a, 10), (*a, 7)), ((*b, 0), None), ((*a, 10), ("t", "en", "v2", 9)))
+    assert store.commit("2", second) and not store.commit("2", second)
+    assert totals() == {a: (1, 7), ("t", "en", "v2"): (1, 9)}
+    # A job that died before its commit leaves deltas that nobody counts; a second entry of a batch counts once.
+    deltas = spark.read.parquet(f"{store.folder}/deltas")
+    deltas.filter("batch = '2'").withColumn("attempt", F.lit("zzz")).write.mode("append").parquet(f"{store.folder}/deltas")
+    assert totals() == {a: (1, 7), ("t", "en", "v2"): (1, 9)}
+    spark.createDataFrame([("2", "zzz")], "batch string, attempt string").write.mode("append").parquet(f"{store.folder}/commits")
+    assert totals() == {a: (1, 7), ("t", "en", "v2"): (1, 9)}
+    assert store.commit("3", changes()) and totals() == {a: (1, 7), ("t", "en", "v2"): (1, 9)}
+
+
+# --- pipeline
+
+def test_stages_hand_on_what_they_keep(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, folder)
+        assert after.columns == docs.columns
+        after = spark.createDataFrame(after.collect(), docs.schema)
+        assert after.select("doc_id").exceptAll(before.select("doc_id")).isEmpty()
+        before = after
+    packed = corpus_pipeline.run(spark, folder).toPandas()
+    assert set(packed["doc_id"]) == {r["doc_id"] for r in before.collect()}
+    expected = {}
+    for r in before.collect():
+        own = ids_of(r["text"], 1)
+        for k, a in enumerate(range(0, len(own), 4096)):
+            expected[r["doc_id"], k] = a, len(own[a:a + 4096]), crc(own[a:a + 4096])
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packed.itertuples()} == expected
+
+
+def test_stages_take_an_empty_table(spark, no_docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_stages_keep_odd_rows_and_columns_of_any_name(spark, odd):
+    docs = odd.withColumns({c: F.lit("own") for c in ("score", "items", "spans", "digest", "kept", "label", "node")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, "/root/testdata/sf0.001")
+        assert found.columns == docs.columns, name
+        kept = sorted((r["doc_id"] or 0) for r in found.filter("score = 'own' AND kept = 'own'").collect())
+        assert kept == ([0, 1, 3, 4] if name == "near_duplicates" else [0, 1, 2, 3, 3, 4]), name
