@@ -96,13 +96,16 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
-    """For n-grams seen once, twice, and three times or more, from how many are seen 1, 2, 3 and 4 times."""
+    """For n-grams seen once, twice, and three times or more, from how many are seen 1, 2, 3 and 4 times.
+
+    Never 0, so that something is left for what was never seen.
+    """
     n1, n2, n3, n4 = n
     if not (n1 and n2 and n3):
         return 0.5, 1.0, 1.5
     y = n1 / (n1 + 2 * n2)
     raw = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
-    return tuple(min(max(d, 0.0), k) for k, d in enumerate(raw, 1))
+    return tuple(min(max(d, 0.1), k) for k, d in enumerate(raw, 1))
 
 
 def probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -194,7 +197,9 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     learn_from = learning_row() if learn_from is None else learn_from
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     trusted = labels.filter(F.col(label) == 1).select(F.col(doc_id).alias("doc_id"))
-    counts = stored(gram_counts(plain.join(trusted.filter(learn_from), "doc_id", "left_semi")), "counts")
+    # Hashed ids of trusted documents, so texts are dealt out by id but never sorted, at any size.
+    learned = plain.join(trusted.filter(learn_from).hint("shuffle_hash"), "doc_id", "left_semi")
+    counts = stored(gram_counts(learned), "counts")
     wanted = gram_counts(plain).drop("c")
     table = stored(probabilities(counts, wanted).select(*SYMBOLS, "log2p").mapInArrow(_hashed, "gram long, log2p double"), "probabilities")
     if table.count() <= broadcast_grams:
