@@ -127,8 +127,15 @@ def to_number(value: Column | str) -> Column:
 
 
 def to_integer(value: Column | str) -> Column:
-    """Long through double, so '3.0' and '3' both parse; NULL when it is no number."""
-    return to_number(value).try_cast("bigint")
+    """Long, so '3.0' and '3' both parse; NULL when it is no number or too large.
+
+    The whole part of a plain number is taken from its text, as a double would change it from 17
+    digits on. Only other notations ('1e3') go through double.
+    """
+    text = _col(value).cast("string")
+    plain = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
+    whole = F.regexp_extract(text, plain, 1).try_cast("bigint")
+    return F.when(text.rlike(plain), whole).otherwise(to_number(value).try_cast("bigint"))
 
 
 def parsed_day(value: Column | str, pattern: str = DAY_FORMAT) -> Column:

@@ -24,8 +24,9 @@ SCRUB_PATTERNS = [
     (r"(?id)SPOOL\s+.*?;", ""),
     (r"(?id)PROMPT\s+.*?;", ""),
     (r"\n\s*\n", "\n"),
-    (r"^\s+|\s+$", ""),
 ]
+# The characters that are cut from both ends afterwards.
+BLANKS = " \t\n\x0b\f\r"
 
 # Script names that are never run.
 IGNORED_NAMES = [r"^test.*\.sql$", r".*_test\.sql$", r"^backup.*\.sql$", r".*_backup\.sql$", r".*\.bak\.sql$"]
@@ -37,7 +38,7 @@ def scrubbed(text: Column | str) -> Column:
     column = F.col(text) if isinstance(text, str) else text
     for pattern, replacement in SCRUB_PATTERNS:
         column = F.regexp_replace(column, pattern, replacement)
-    return column
+    return F.btrim(column, F.lit(BLANKS))
 
 
 def uncommented(text: Column | str) -> Column:

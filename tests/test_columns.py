@@ -72,6 +72,12 @@ def test_numbers_from_text(rows):
     assert values(df, L.to_integer("v")) == [(3,), (3,), (100,), (None,), (None,), (None,)]
 
 
+def test_whole_numbers_beyond_doubles(rows):
+    df = rows("v string", ("9007199254740993",), ("9223372036854775807.9",), ("9223372036854775808",), (" -12345678901234567 ",), ("0.99999999999",), ("-.5",))
+    assert values(df, L.to_integer("v")) == [(9007199254740993,), (9223372036854775807,), (None,), (-12345678901234567,), (0,), (0,)]
+    assert values(rows("v decimal(38,10)", (D("9007199254740993.5"),)), L.to_integer("v")) == [(9007199254740993,)]
+
+
 def test_open_balance_policies(rows):
     df = rows(
         "i int, own boolean, q int, lost int, back int, sent int, here int",
