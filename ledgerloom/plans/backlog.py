@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_label, day_text, joined_text, open_balance, to_other_currency
-from ledgerloom.operators.joins import has_match, latest_by, lookup, totals_by
+from ledgerloom.operators.joins import has_match, latest_by, lookup, matching, totals_by
 from ledgerloom.operators.lists import counted_values, list_text
 from ledgerloom.plans import codes
 from ledgerloom.sources.erp import Tables
@@ -26,10 +26,14 @@ _ORDER = {"codi_emp": "codi_emp", "pedi_ped": "pedi_ped", "seri_ped": "seri_ped"
 _LINE = {**_ORDER, "codi_psv": "codi_psv"}
 
 
-def delivered(t: Tables) -> DataFrame:
+# The sums below are built for the given orders only; their notes and losses may be of any day.
+_OF_NOTE = {"empr_ped": "codi_emp", "pedi_ped": "pedi_ped", "seri_ped": "seri_ped"}
+
+
+def delivered(t: Tables, orders: DataFrame) -> DataFrame:
     """Returned and delivered quantities per order line, from notes that are not cancelled."""
     notes = t["nota"].where("situ_not <> '9'")
-    lines = t["inota"].where("pedi_ped IS NOT NULL AND seri_ped IS NOT NULL AND empr_ped IS NOT NULL")
+    lines = matching(t["inota"].where("pedi_ped IS NOT NULL AND seri_ped IS NOT NULL AND empr_ped IS NOT NULL"), orders, _OF_NOTE)
     zero = F.lit(0)
     return totals_by(
         lookup(lines, notes, {"npre_not": "npre_not"}, {}, "inner"),
@@ -38,19 +42,19 @@ def delivered(t: Tables) -> DataFrame:
     )
 
 
-def sent_by_order(t: Tables) -> DataFrame:
+def sent_by_order(t: Tables, orders: DataFrame) -> DataFrame:
     """Quantity the order's own delivery flow reports per order line.
 
     The source computes it in a table function whose body is not part of the reports; its result
     is taken as an input table and summed to one row per order line.
     """
-    return totals_by(t["qtde_entr_ped_ven"], list(_LINE), sent=F.sum("qent"))
+    return totals_by(matching(t["qtde_entr_ped_ven"], orders, _ORDER), list(_LINE), sent=F.sum("qent"))
 
 
-def lost_sales(t: Tables) -> DataFrame:
+def lost_sales(t: Tables, orders: DataFrame) -> DataFrame:
     """Lost quantity per order line; reasons that are unknown or no real loss do not count."""
     real = t["ocorrencias"].where(~F.col("codi_prv").isin(codes.NOT_LOST))
-    return totals_by(real, list(_LINE), lost=F.sum("qtde_oco"))
+    return totals_by(matching(real, orders, _ORDER), list(_LINE), lost=F.sum("qtde_oco"))
 
 
 def last_purchase_price(t: Tables) -> DataFrame:
@@ -95,11 +99,12 @@ def products(t: Tables) -> DataFrame:
 
 def order_lines(t: Tables, span: tuple[str, str]) -> DataFrame:
     """Lines of orders that are not cancelled, with the sums kept per order or order line."""
-    orders = t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(*span))
+    shown = t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(*span))
+    keys = shown.select(*_ORDER)
     control = t["topctrl"].where(F.col("codi_ctr") == codes.DELIVERY_CONTROL)
-    orders = has_match(orders, control, {"codi_top": "codi_top"}, "controlled")
+    orders = has_match(shown, control, {"codi_top": "codi_top"}, "controlled")
 
-    terms = counted_values(t["prefinan"], list(_ORDER), "praz_pfp", "terms")
+    terms = counted_values(matching(t["prefinan"], keys, _ORDER), list(_ORDER), "praz_pfp", "terms")
     orders = lookup(orders, terms, _ORDER, {"terms": "terms"})
     orders = orders.withColumn("venc_pfp", list_text("terms", lambda d: day_text(F.date_add("vcto_ped", d))))
 
@@ -114,9 +119,9 @@ def order_lines(t: Tables, span: tuple[str, str]) -> DataFrame:
     header = [c for c in orders.columns if c not in _ORDER]
     lines = lookup(t["ipedido"], orders, _ORDER, {c: c for c in header}, "inner")
     lines = lines.withColumn("qper_ipe", F.coalesce("qper_ipe", F.lit(0)))
-    lines = lookup(lines, sent_by_order(t), _LINE, {"sent": "sent"})
-    lines = lookup(lines, lost_sales(t), _LINE, {"lost": "lost"})
-    return lookup(lines, delivered(t), {"pedi_ped": "pedi_ped", "seri_ped": "seri_ped", "codi_emp": "empr_ped", "codi_psv": "codi_psv"},
+    lines = lookup(lines, sent_by_order(t, keys), _LINE, {"sent": "sent"})
+    lines = lookup(lines, lost_sales(t, keys), _LINE, {"lost": "lost"})
+    return lookup(lines, delivered(t, keys), {"pedi_ped": "pedi_ped", "seri_ped": "seri_ped", "codi_emp": "empr_ped", "codi_psv": "codi_psv"},
                   {"qdev": "qdev", "qent": "qent"})
 
 

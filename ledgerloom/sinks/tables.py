@@ -2,18 +2,28 @@
 
 A refresh writes a new version folder and then points the table at it. Readers see the old rows
 or the new ones, never an empty or half-loaded table, and a job that dies leaves the old rows.
-Old version folders stay until somebody removes them.
+After the switch all but the last `retain` versions of the table are emptied, so a table that is
+refreshed daily for years takes the room of a few copies. Versions are folders named by the time
+they were begun.
+
+A name is one table, whatever characters it holds (see catalog_name). A name with a database is
+given as a tuple (database, table).
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.quality import aligned, clean_names
+from ledgerloom.operators.quality import aligned, clean_name, clean_names
+
+Name = str | tuple[str, str]
+RETAINED = 3
+_VERSIONS = "ledgerloom.versions"
 
 
 @dataclass(frozen=True)
@@ -25,49 +35,86 @@ class Load:
     created: bool
 
 
+def catalog_name(name: Name) -> str:
+    """The quoted name of a target. The catalog takes letters, digits and underscores only, so every
+    other character is an underscore there; `p_my.report` is one table, not a table of a database."""
+    parts = name if isinstance(name, tuple) else (name,)
+    return ".".join(f"`{clean_name(part)}`" for part in parts)
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+def table_exists(spark: SparkSession, name: Name) -> bool:
+    return spark.catalog.tableExists(catalog_name(name))
+
 
+def versions(spark: SparkSession, name: Name) -> list[str]:
+    """Folders of the versions that still hold rows, the latest last."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {catalog_name(name)}").filter(F.col("key") == _VERSIONS).first()
+    return found["value"].split("\n") if found else []
 
-def full_refresh(df: DataFrame, name: str, folder: str) -> Load:
+
+def full_refresh(df: DataFrame, name: Name, folder: str, retain: int = RETAINED) -> Load:
     """Replace all rows of a table; the first load creates it from the declared schema.
 
     Later loads keep the table's columns and types: rows are cast to them, and a column that is
-    missing is an error instead of a silent change.
+    missing is an error instead of a silent change. The last `retain` versions stay, the new one
+    among them, for readers that began before the switch.
     """
-    spark = df.sparkSession
+    if retain < 1:
+        raise ValueError("at least the new version must be retained")
+    spark, table = df.sparkSession, catalog_name(name)
     df = clean_names(df)
     exists = table_exists(spark, name)
     if exists:
-        df = aligned(df, spark.table(name).schema)
-    version = f"{folder.rstrip('/')}/{name}/{uuid4().hex}"
+        df = aligned(df, spark.table(table).schema)
+    version = f"{folder.rstrip('/')}/{table.replace('`', '')}/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid4().hex}"
     rows, seen = _counted(df)
     rows.write.parquet(version)
     if exists:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     else:
-        spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
-    spark.catalog.refreshTable(name)
-    return Load(name, seen.get["rows"], not exists)
+        spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(table)
+    _remember(spark, name, [*versions(spark, name), version], retain)
+    return Load(table.replace("`", ""), seen.get["rows"], not exists)
+
+
+def _remember(spark: SparkSession, name: Name, all_versions: list[str], retain: int) -> None:
+    """Empty all but the last versions; one that fails to be emptied is tried again next time."""
+    old, kept = all_versions[:-retain], all_versions[-retain:]
+    nothing = spark.createDataFrame([], spark.table(catalog_name(name)).schema)
+    for version in old:
+        nothing.coalesce(1).write.mode("overwrite").parquet(version)
+    listed = "\n".join(kept)
+    spark.sql(f"ALTER TABLE {catalog_name(name)} SET TBLPROPERTIES ('{_VERSIONS}' = '{listed}')")
 
 
-def append(df: DataFrame, name: str) -> Load:
+def append(df: DataFrame, name: Name) -> Load:
     """Add rows to an existing table, matched to its columns by name."""
-    spark = df.sparkSession
-    rows, seen = _counted(aligned(clean_names(df), spark.table(name).schema))
-    rows.write.insertInto(name)
-    return Load(name, seen.get["rows"], False)
+    spark, table = df.sparkSession, catalog_name(name)
+    rows, seen = _counted(aligned(clean_names(df), spark.table(table).schema))
+    rows.write.insertInto(table)
+    return Load(table.replace("`", ""), seen.get["rows"], False)
+
+
+def load(df: DataFrame, name: Name, folder: str, mode: str = "refresh", retain: int = RETAINED) -> Load:
+    """A full refresh, or with mode "append" rows added to what is there (the first load creates it)."""
+    if mode not in ("refresh", "append"):
+        raise ValueError(f"unknown mode {mode}")
+    if mode == "append" and table_exists(df.sparkSession, name):
+        return append(df, name)
+    return full_refresh(df, name, folder, retain)
 
 
-def table_info(spark: SparkSession, name: str) -> DataFrame:
+def table_info(spark: SparkSession, name: Name) -> DataFrame:
     """One row per column of a table, with the table's row count on each."""
+    rows = spark.table(catalog_name(name))
     entries = [
         F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"))
-        for i, f in enumerate(spark.table(name).schema, start=1)
+        for i, f in enumerate(rows.schema, start=1)
     ]
-    return spark.table(name).agg(F.count(F.lit(1)).alias("row_count")).select("row_count", F.inline(F.array(*entries)))
+    return rows.agg(F.count(F.lit(1)).alias("row_count")).select("row_count", F.inline(F.array(*entries)))
