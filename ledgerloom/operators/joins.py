@@ -82,18 +82,24 @@ def latest_by(
 ) -> DataFrame:
     """The named values of the last row per key, ordered by `order` with NULL as the greatest.
 
-    An aggregate, not a window: each task keeps one row per key before the shuffle. Give
-    enough order columns to make the choice unique.
+    Give enough order columns to make the choice unique; of rows that agree in all of them, the
+    greatest of each value is taken. Each order column keeps, per key, the rows that are greatest in
+    it: a hash aggregate with one row per key and task, joined back by a struct of
+    the keys, so that neither step sorts the input and a hot key is combined and split. The rows
+    thin out from column to column. Order by numbers and days; the greatest of a text is found by
+    sorting, here as everywhere in Spark.
     """
     def column(c: Column | str) -> Column:
         return F.col(c) if isinstance(c, str) else c
 
-    rank = [part for c in map(column, order) for part in (c.isNull(), c)]
-    picked = F.max_by(
-        F.struct(*[column(c).alias(n) for n, c in values.items()]),
-        F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)]),
-    )
-    return totals_by(df, keys, _row=picked).select(*keys, "_row.*")
+    ranks = [f"_r{i}" for i in range(len(order))]
+    ranked = [column(c).alias(r) for c, r in zip(order, ranks)]
+    rows = df.select(F.struct(*keys).alias("_key"), *ranked, *[column(c).alias(f"_v_{n}") for n, c in values.items()])
+    for rank in ranks:
+        top = totals_by(rows.select("_key", rank), ["_key"], _null=F.max(F.col(rank).isNull()), _top=F.max(rank))
+        rows = lookup(rows, top, {"_key": "_key"}, {"_null": "_null", "_top": "_top"}, "inner")
+        rows = rows.where(F.when(F.col("_null"), F.col(rank).isNull()).otherwise(F.col(rank) == F.col("_top"))).drop("_null", "_top", rank)
+    return totals_by(rows, ["_key"], **{n: F.max(f"_v_{n}") for n in values}).select("_key.*", *values)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

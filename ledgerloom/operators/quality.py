@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +93,8 @@ def varchar_widths(df: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: source and target type, longest text, NULLs, and how many values are numbers."""
+    """Per column: source and target type, longest text and a width with room, NULLs, and how many
+    values are numbers."""
     measures, shown = {}, {}
     for field in df.schema:
         column = F.col(f"`{field.name}`")
@@ -107,7 +108,8 @@ def column_profile(df: DataFrame) -> DataFrame:
             "numbers": F.count_if(column.try_cast("double").isNotNull()) if is_text or isinstance(field.dataType, T.NumericType)
             else F.count_if(F.lit(False)),
         }
-    return _per_column(df, measures, shown)
+    widths = F.when(F.col("source_type") == "string", _width(F.coalesce("longest", F.lit(0))))
+    return _per_column(df, measures, shown).withColumn("width", widths.cast("bigint"))
 
 
 def mapped_types(df: DataFrame, declared: str, name: str) -> DataFrame:
@@ -136,6 +138,11 @@ def validation_report(df: DataFrame, text: str, keyword: str) -> DataFrame:
         F.count(F.lit(1)).alias("texts"), F.sum(F.coalesce(F.col("size_kb").cast("decimal(18,2)"), F.lit(0))).alias("size_kb"))
 
 
+def invalid_texts(df: DataFrame, text: str, keyword: str) -> DataFrame:
+    """The rows whose text is not valid, with the message and size instead of the text."""
+    return validated(df, text, keyword).where(~F.col("valid")).drop(text, "valid")
+
+
 def missing_fields(df: DataFrame, required: Sequence[str], name: str) -> DataFrame:
     """Add the names of required columns that are NULL or empty, as ordered text; '' when complete."""
     found = F.array_compact(F.array(*[
@@ -159,30 +166,51 @@ def references(df: DataFrame, text: str, patterns: Mapping[str, Sequence[str]])
 KIND_ORDER = ["TABLE", "VIEW", "FUNCTION", "PROCEDURE", "PACKAGE"]
 
 
+def catalog_objects(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Name and kind of the tables, views and functions that the session's catalog has in a database."""
+    tables = [(t.name, "VIEW" if "VIEW" in t.tableType.upper() or t.isTemporary else "TABLE") for t in spark.catalog.listTables(database)]
+    functions = [(f.name, "FUNCTION") for f in spark.catalog.listFunctions(database)]
+    return spark.createDataFrame(tables + functions, "name string, kind string").distinct()
+
+
 def access_check(refs: DataFrame, catalog: DataFrame) -> DataFrame:
-    """For each reference whether the catalog (name, kind) has it, and as what kind."""
+    """For each reference whether the catalog (name, kind) has it, and as what kind.
+
+    Names are the same in any case: scripts are read in upper case, catalogs may be in lower case.
+    The kind that is first in KIND_ORDER is the lowest number, so one minimum per name finds it.
+    """
     rank = F.array_position(F.array(*[F.lit(k) for k in KIND_ORDER]), F.col("kind"))
-    known = totals_by(catalog.where(F.col("kind").isin(KIND_ORDER)), ["name"], found_type=F.min_by("kind", rank))
-    found = lookup(refs, known, {"name": "name"}, {"found_type": "found_type"})
+    objects = catalog.where(F.col("kind").isin(KIND_ORDER)).select(F.lower("name").alias("name"), rank.alias("rank"))
+    known = totals_by(objects, ["name"], rank=F.min("rank"))
+    found = lookup(refs.withColumn("same", F.lower("name")), known, {"same": "name"}, {"rank": "rank"})
+    found = found.withColumn("found_type", code_label("rank", {i: k for i, k in enumerate(KIND_ORDER, 1)}))
     return found.select(
         F.col("name").alias("object_name"), F.col("kind").alias("requested_type"),
         F.col("found_type").isNotNull().alias("has_access"), "found_type")
 
 
 def access_report(checked: DataFrame) -> DataFrame:
-    """Per requested kind: references in total, accessible and missing, and the overall verdict."""
-    return checked.groupBy("requested_type").agg(
+    """Per requested kind: references in total, accessible and missing, and the verdict; 'all' for all kinds."""
+    report = checked.rollup("requested_type").agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("has_access")).alias("accessible"),
-        F.count_if(~F.col("has_access")).alias("missing"),
-    ).withColumn("complete", F.col("missing") == 0)
+        F.count_if(~F.col("has_access")).alias("missing"), F.grouping("requested_type").alias("_all"),
+    )
+    kind = F.when(F.col("_all") == 1, "all").otherwise(F.col("requested_type"))
+    return report.withColumn("requested_type", kind).drop("_all").withColumn("complete", F.col("missing") == 0)
+
+
+def missing_objects(checked: DataFrame) -> DataFrame:
+    """The references that the catalog does not have, as rows."""
+    return checked.where(~F.col("has_access")).select("requested_type", "object_name")
 
 
 def run_totals(runs: DataFrame) -> DataFrame:
-    """Totals of a run from its rows (dataset, succeeded, records)."""
+    """Totals of a run from its rows (dataset, succeeded, records, seconds)."""
     ok = F.col("succeeded")
     return runs.agg(
         F.count_if(ok).alias("processed"), F.count(F.lit(1)).alias("total"),
         F.coalesce(F.sum(F.when(ok, F.col("records"))), F.lit(0)).alias("records"), F.count_if(~ok).alias("errors"),
+        F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"),
     ).withColumns({
         "success": F.col("errors") == 0,
         "success_rate": F.coalesce(F.try_divide(F.col("processed") * F.lit(100.0), F.col("total")), F.lit(0.0)),

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.plans import masters
 from ledgerloom.plans.backlog import backlog
 from ledgerloom.plans.invoicing import invoicing
-from ledgerloom.sinks.tables import append, full_refresh, table_exists
+from ledgerloom.sinks.tables import RETAINED, catalog_name, load
 from ledgerloom.sources.erp import Tables
 from ledgerloom.sources.scripts import checked_scripts, run_script
 
@@ -32,32 +34,38 @@ RUN_SCHEMA = "dataset string, succeeded boolean, records bigint, message string,
 Job = tuple[str, Callable[[], DataFrame | None]]
 
 
-def refresh(spark: SparkSession, jobs: Iterable[Job], folder: str, run_log: str | None = None, parallel: int = 4) -> DataFrame:
+def refresh(
+    spark: SparkSession, jobs: Iterable[Job], folder: str, run_log: str | None = None, parallel: int = 4,
+    mode: str = "refresh", retain: int = RETAINED,
+) -> DataFrame:
     """Refresh one table per job; a failing job is reported and does not stop the others.
 
     Returns one row per job and adds them to the run log table when one is named. Jobs are
-    independent, so a few of them are submitted at a time and share the cluster.
+    independent, so a few of them are submitted at a time and share the cluster. With mode
+    "append" rows are added to the tables instead. Jobs that lead to the same table are errors,
+    all of them: none may overwrite what another one loads. An error's text is kept whole.
     """
+    jobs = list(jobs)
+    targets = Counter(catalog_name(name) for name, _ in jobs)
 
     def run(job: Job) -> tuple[str, bool, int, str, float]:
         name, build = job
         started = time.monotonic()
         try:
+            if targets[catalog_name(name)] > 1:
+                raise ValueError(f"{targets[catalog_name(name)]} jobs lead to the table {catalog_name(name)}")
             df = build()
             if df is None:
                 return name, False, 0, "nothing to run", time.monotonic() - started
-            load = full_refresh(df, name, folder)
-            return name, True, load.rows, "created" if load.created else "refreshed", time.monotonic() - started
+            done = load(df, name, folder, mode, retain)
+            return name, True, done.rows, "created" if done.created else "refreshed" if mode == "refresh" else "appended", time.monotonic() - started
         except Exception as error:  # noqa: BLE001 - reported per dataset
-            return name, False, 0, str(error).splitlines()[0][:500], time.monotonic() - started
+            return name, False, 0, f"{type(error).__name__}: {error}", time.monotonic() - started
 
     with ThreadPoolExecutor(parallel) as pool:
         runs = spark.createDataFrame(list(pool.map(run, jobs)), RUN_SCHEMA)
     if run_log:
-        if table_exists(spark, run_log):
-            append(runs, run_log)
-        else:
-            full_refresh(runs, run_log, folder)
+        load(runs, run_log, folder, "append")
     return runs
 
 
@@ -70,16 +78,16 @@ def refresh_datasets(spark: SparkSession, tables: Tables, folder: str, names: It
 def refresh_scripts(spark: SparkSession, found: DataFrame, folder: str, **options) -> DataFrame:
     """Refresh the target table of every valid script; invalid ones are reported as failed.
 
-    Only script texts reach the driver, which has to submit them; results are written by the
-    executors.
+    Names and verdicts come to the driver first, then the text of one script at a time for each
+    job that is running; results are written by the executors.
     """
-    rows = checked_scripts(found).collect()
+    rows = checked_scripts(found).select("name", "table_name", "valid", "message").collect()
 
     def job(row) -> Job:
         def build() -> DataFrame | None:
             if not row["valid"]:
                 raise ValueError(f"script is not valid: {row['message']}")
-            return run_script(spark, row["text"])
+            return run_script(spark, found.where(F.col("name") == row["name"]).select("text").first()["text"])
         return row["table_name"], build
 
     return refresh(spark, [job(r) for r in rows], folder, **options)

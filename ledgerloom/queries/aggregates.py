@@ -99,7 +99,7 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey) AS k WHERE place = 1""", "
 def topk_last_price(spark, sf_dir):
     lines = lookup(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice"), table(spark, sf_dir, "orders"),
                    {"l_orderkey": "o_orderkey"},
-                   {"o_orderkey": "o_orderkey", "on_day": "o_orderdate", "urgency": F.nullif("o_orderpriority", F.lit("1-URGENT"))}, "inner")
+                   {"o_orderkey": "o_orderkey", "on_day": "o_orderdate", "urgency": F.nullif(F.left("o_orderpriority", F.lit(1)).cast("int"), F.lit(1))}, "inner")
     return latest_by(lines, ["l_partkey"], ["urgency", "on_day", "o_orderkey", "l_extendedprice"],
                      price=amount("l_extendedprice"), o_orderkey="o_orderkey")
 
@@ -135,11 +135,11 @@ def sort_multi(spark, sf_dir):
     return total_order(table(spark, sf_dir, "part").select("p_type", "p_size", "p_name", "p_partkey"), "p_type", "p_size")
 
 
-@query("SELECT l_partkey AS code, l_returnflag AS flag FROM lineitem WHERE l_returnflag <> 'N' UNION SELECT l_suppkey, l_linestatus FROM lineitem")
+@query("SELECT l_partkey AS code, l_returnflag AS flag FROM lineitem UNION SELECT l_suppkey, l_linestatus FROM lineitem")
 def set_union(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return distinct_union(
-        lines.where("l_returnflag <> 'N'").select(F.col("l_partkey").alias("code"), F.col("l_returnflag").alias("flag")),
+        lines.select(F.col("l_partkey").alias("code"), F.col("l_returnflag").alias("flag")),
         lines.select(F.col("l_suppkey").alias("code"), F.col("l_linestatus").alias("flag")))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import code_label
 from ledgerloom.operators.joins import has_match, lookup, matching, share_of_total, totals_by
 from ledgerloom.queries.base import portable_sql, query, table
 
@@ -93,13 +94,13 @@ def join_left_union(spark, sf_dir):
 
 @query(portable_sql("""WITH due AS (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_day FROM lineitem GROUP BY 1)
 SELECT 'open' AS kind, o_orderkey, first_day FROM orders LEFT JOIN due ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O'
-UNION ALL SELECT 'filled', o_orderkey, first_day FROM orders LEFT JOIN due ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'""", "", "first_day"))
+UNION ALL SELECT 'filled', o_orderkey, first_day FROM orders LEFT JOIN due ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'partial', o_orderkey, first_day FROM orders LEFT JOIN due ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P'""", "", "first_day"))
 def join_cte(spark, sf_dir):
     due = totals_by(table(spark, sf_dir, "lineitem"), ["l_orderkey"], first_day=F.min(F.col("l_shipdate").cast("date")))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    both = orders.where("o_orderstatus = 'O'").withColumn("kind", F.lit("open")).unionByName(
-        orders.where("o_orderstatus = 'F'").withColumn("kind", F.lit("filled")))
-    return lookup(both, due, {"o_orderkey": "l_orderkey"}, {"first_day": "first_day"}).select("kind", "o_orderkey", "first_day")
+    kind = code_label("o_orderstatus", {"O": "open", "F": "filled", "P": "partial"})
+    orders = table(spark, sf_dir, "orders").select(kind.alias("kind"), "o_orderkey").where("kind IS NOT NULL")
+    return lookup(orders, due, {"o_orderkey": "l_orderkey"}, {"first_day": "first_day"}).select("kind", "o_orderkey", "first_day")
 
 
 @query("""SELECT b.n_name AS buyer_nation, s.n_name AS seller_nation, count(*) AS n

@@ -14,13 +14,16 @@ from ledgerloom.operators.quality import (
     clean_names,
     column_profile,
     decimals_to_double,
+    invalid_texts,
     mapped_types,
     missing_fields,
+    missing_objects,
     references,
     run_totals,
     validated,
     validation_report,
 )
+from ledgerloom.plans.registry import refresh
 from ledgerloom.queries.base import portable_sql, query, table
 from ledgerloom.queries.joining import amount
 from ledgerloom.session import work_folder
@@ -92,10 +95,11 @@ def sink_empty_refresh(spark, sf_dir):
 
 
 @query("""SELECT (SELECT count(*) FROM orders) AS row_count, CAST(position AS INT) AS position, column_name, column_type FROM (VALUES
-(1, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'bigint'), (3, 'o_orderstatus', 'string'), (4, 'o_totalprice', 'double')) AS k (position, column_name, column_type)""")
+(1, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'bigint'), (3, 'o_orderstatus', 'string'), (4, 'o_totalprice', 'double'),
+(5, 'o_orderdate', 'timestamp_ntz'), (6, 'o_orderpriority', 'string')) AS k (position, column_name, column_type)""")
 def sink_table_info(spark, sf_dir):
     name, folder = target(spark, "orders")
-    full_refresh(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), name, folder)
+    full_refresh(table(spark, sf_dir, "orders"), name, folder)
     return table_info(spark, name)
 
 
@@ -112,14 +116,20 @@ _RUN = "region nation customer supplier part orders lineitem events".split()
 
 
 @query(f"""SELECT sum(CASE WHEN n > 100 THEN 1 ELSE 0 END)::BIGINT AS processed, count(*) AS total, sum(CASE WHEN n > 100 THEN n ELSE 0 END)::BIGINT AS records,
-sum(CASE WHEN n > 100 THEN 0 ELSE 1 END)::BIGINT AS errors, min(n) > 100 AS success, sum(CASE WHEN n > 100 THEN 1 ELSE 0 END)::DOUBLE * 100 / count(*) AS success_rate
+sum(CASE WHEN n > 100 THEN 0 ELSE 1 END)::BIGINT AS errors, true AS timed, min(n) > 100 AS success, sum(CASE WHEN n > 100 THEN 1 ELSE 0 END)::DOUBLE * 100 / count(*) AS success_rate
 FROM ({' UNION ALL '.join(f'SELECT count(*) AS n FROM {t}' for t in _RUN)}) AS k""")
 def run_report(spark, sf_dir):
-    counts = [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("records")).withColumn("dataset", F.lit(t)) for t in _RUN]
-    runs = counts[0]
-    for df in counts[1:]:
-        runs = runs.unionByName(df)
-    return run_totals(runs.withColumn("succeeded", F.col("records") > 100))
+    """Totals of a refresh of eight tables; those of at most 100 rows count as not delivered, an error."""
+
+    def delivered(name):
+        rows = table(spark, sf_dir, name)
+        if rows.limit(101).count() <= 100:
+            raise ValueError(f"{name} has too few rows")
+        return rows
+
+    mark, folder = target(spark, "run")
+    runs = refresh(spark, [(f"{t}_{mark}", lambda t=t: delivered(t)) for t in _RUN], folder)
+    return run_totals(runs).withColumn("timed", F.col("seconds") > 0).drop("seconds")
 
 
 @query("SELECT p_partkey AS p_partkey, p_name AS part_name, p_brand AS p_brand_, p_size AS size__cm_ FROM part")
@@ -137,7 +147,8 @@ def _profile_sql(columns: dict[str, tuple[str, str]]) -> str:
         numbers = f"count(TRY_CAST({value} AS DOUBLE))" if is_text or is_number else "CAST(0 AS BIGINT)"
         longest = f"CAST(max(length({value})) AS BIGINT)" if is_text else "CAST(NULL AS BIGINT)"
         rows.append(f"SELECT '{name}' AS column_name, '{source}' AS source_type, '{target_type}' AS target_type, {longest} AS longest, "
-                    f"count(*) - count({value}) AS nulls, {numbers} AS numbers FROM orders")
+                    f"count(*) - count({value}) AS nulls, {numbers} AS numbers, "
+                    f"{f'CAST(least(greatest(coalesce({longest}, 0), 50) * 2, 4000) AS BIGINT)' if is_text else 'CAST(NULL AS BIGINT)'} AS width FROM orders")
     return " UNION ALL ".join(rows)
 
 
@@ -149,10 +160,12 @@ def tr_column_profile(spark, sf_dir):
     return column_profile(orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW"))))
 
 
-_MIXED = """CASE event_type WHEN 'click' THEN k WHEN 'error' THEN event_type WHEN 'purchase' THEN k || '.75' WHEN 'view' THEN ' ' || k ELSE k || 'e2' END"""
+_MIXED = """CASE event_type WHEN 'click' THEN '90071992547409' || lpad(k, 3, '0') WHEN 'error' THEN event_type WHEN 'purchase' THEN k || '.75'
+WHEN 'view' THEN ' ' || k ELSE k || 'e2' END"""
 
 
-@query(f"""SELECT event_id, TRY_CAST(v AS DOUBLE) AS number, TRY_CAST(trunc(TRY_CAST(v AS DOUBLE)) AS BIGINT) AS whole FROM
+@query(f"""SELECT event_id, TRY_CAST(v AS DOUBLE) AS number,
+TRY_CAST(trunc(TRY_CAST(v AS DECIMAL(38,4))) AS BIGINT) AS whole FROM
 (SELECT event_id, {_MIXED} AS v FROM (SELECT event_id, event_type, regexp_extract(props, '[0-9]+') AS k FROM events) AS a) AS b""")
 def tr_to_numeric(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
@@ -209,6 +222,12 @@ def dq_validation_report(spark, sf_dir):
     return validation_report(docs, "t", "the")
 
 
+@query(f"""SELECT doc_id, message, round_even(strlen(t) / 1024.0::DOUBLE, 2) AS size_kb
+FROM (SELECT doc_id, t, {_MESSAGE} AS message FROM (SELECT doc_id, {_CHECKED} AS t FROM documents) AS a) AS b WHERE message <> 'ok'""")
+def dq_invalid_texts(spark, sf_dir):
+    return invalid_texts(table(spark, sf_dir, "documents").select("doc_id", F.expr(_CHECKED).alias("t")), "t", "the")
+
+
 _KINDS = {"links": [r'href="/?([^"]+)"'], "styles": [r'class="([^"]+)"', r"<([a-z]+)[^>]*>"]}
 _REFS = r"""SELECT DISTINCT kind, name FROM (
 SELECT 'links' AS kind, unnest(regexp_extract_all(html, 'href="/?([^"]+)"', 1)) AS name FROM pages
@@ -217,10 +236,10 @@ UNION ALL SELECT 'styles', unnest(regexp_extract_all(html, '<([a-z]+)[^>]*>', 1)
 _WORD = r"[\p{L}]+"
 _CATALOG = rf"""SELECT DISTINCT 'TABLE' AS kind, unnest(regexp_extract_all(text, '{_WORD}')) AS name FROM benchmark
 UNION ALL SELECT DISTINCT 'FUNCTION', unnest(regexp_extract_all(text, '{_WORD}')) FROM conversations
-UNION ALL SELECT DISTINCT 'VIEW', unnest(regexp_extract_all(text, '{_WORD}')) FROM documents WHERE lang <> 'en'"""
+UNION ALL SELECT DISTINCT 'VIEW', unnest(regexp_extract_all(text, '{_WORD}')) FROM documents"""
 _ACCESS = f"""SELECT r.name AS object_name, r.kind AS requested_type, found_type IS NOT NULL AS has_access, found_type
-FROM ({_REFS}) r LEFT JOIN (SELECT name, CASE min(CASE kind WHEN 'TABLE' THEN 1 WHEN 'VIEW' THEN 2 ELSE 3 END) WHEN 1 THEN 'TABLE' WHEN 2 THEN 'VIEW' ELSE 'FUNCTION' END AS found_type
-FROM ({_CATALOG}) AS c GROUP BY name) k ON k.name = r.name"""
+FROM ({_REFS}) r LEFT JOIN (SELECT lower(name) AS name, CASE min(CASE kind WHEN 'TABLE' THEN 1 WHEN 'VIEW' THEN 2 ELSE 3 END) WHEN 1 THEN 'TABLE' WHEN 2 THEN 'VIEW' ELSE 'FUNCTION' END AS found_type
+FROM ({_CATALOG}) AS c GROUP BY lower(name)) k ON k.name = lower(r.name)"""
 
 
 def page_references(spark, sf_dir):
@@ -232,7 +251,7 @@ def word_catalog(spark, sf_dir):
     word = f"({_WORD})"
     found = references(table(spark, sf_dir, "benchmark"), "text", {"TABLE": [word]})
     found = found.unionByName(references(table(spark, sf_dir, "conversations"), "text", {"FUNCTION": [word]}))
-    return found.unionByName(references(table(spark, sf_dir, "documents").where("lang <> 'en'"), "text", {"VIEW": [word]}))
+    return found.unionByName(references(table(spark, sf_dir, "documents"), "text", {"VIEW": [word]}))
 
 
 @query(_REFS)
@@ -245,12 +264,18 @@ def dq_access_check(spark, sf_dir):
     return access_check(page_references(spark, sf_dir), word_catalog(spark, sf_dir))
 
 
-@query(f"""SELECT requested_type, count(*) AS total, count(*) FILTER (has_access) AS accessible, count(*) FILTER (NOT has_access) AS missing,
-bool_and(has_access) AS complete FROM ({_ACCESS}) AS k GROUP BY 1""")
+@query(f"""SELECT CASE WHEN grouping(requested_type) = 1 THEN 'all' ELSE requested_type END AS requested_type, count(*) AS total,
+count(*) FILTER (has_access) AS accessible, count(*) FILTER (NOT has_access) AS missing, bool_and(has_access) AS complete
+FROM ({_ACCESS}) AS k GROUP BY ROLLUP (requested_type)""")
 def dq_access_report(spark, sf_dir):
     return access_report(access_check(page_references(spark, sf_dir), word_catalog(spark, sf_dir)))
 
 
+@query(f"SELECT requested_type, object_name FROM ({_ACCESS}) AS k WHERE NOT has_access")
+def dq_missing_objects(spark, sf_dir):
+    return missing_objects(access_check(page_references(spark, sf_dir), word_catalog(spark, sf_dir)))
+
+
 _NAMES = ["the", "of", "de", "la", "and"]
 
 

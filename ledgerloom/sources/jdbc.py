@@ -59,6 +59,17 @@ def read_table(
     return spark.read.format("jdbc").options(**connection, **table_options(table, column, low, high, partitions)).load()
 
 
+def catalog_query(owner: str) -> str:
+    """Query for name and kind of an owner's objects, for operators.quality.access_check."""
+    quoted = owner.upper().replace("'", "''")
+    return f"SELECT object_name AS name, object_type AS kind FROM all_objects WHERE owner = '{quoted}'"
+
+
+def catalog_objects(spark: SparkSession, connection: Mapping[str, str], owner: str) -> DataFrame:
+    """Name and kind of the objects of an owner in the source database."""
+    return read_query(spark, connection, catalog_query(owner)).selectExpr("name", "kind")
+
+
 def load_table(df: DataFrame, connection: Mapping[str, str], table: str, refresh: bool = True, **options: int) -> None:
     """Load a table: refresh empties it first and keeps its structure, else rows are added.
 

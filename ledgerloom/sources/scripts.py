@@ -29,7 +29,9 @@ def scripts(
 ) -> DataFrame:
     """Scripts of a folder that are selected by name, in name order, with their target table."""
     listed = spark.createDataFrame([(name,) for name in _file_names(spark, folder)], "name string")
-    texts = spark.read.format("binaryFile").load(folder).select(
+    # Other files of the folder are not opened.
+    only = f"*{{{','.join(suffixes)}}}"
+    texts = spark.read.format("binaryFile").option("pathGlobFilter", only).load(folder).select(
         F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.decode("content", "UTF-8").alias("text"))
     chosen = listed.where(selected_name("name", suffixes, ignored)).join(texts, "name", "left")
     return chosen.select(

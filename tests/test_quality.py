@@ -1,9 +1,12 @@
 """Transforms, checks, sinks, scripts and run reports."""
 
+import datetime as dt
+import time
 from decimal import Decimal as D
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import (
@@ -17,9 +20,9 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.plans import registry
 from ledgerloom.queries.standin import ErpTables
 from ledgerloom.session import apply_settings, work_folder
-from ledgerloom.sinks.tables import append, full_refresh, table_exists, table_info
+from ledgerloom.sinks.tables import append, full_refresh, load, table_exists, table_info, versions
 from ledgerloom.sources import jdbc, scripts
-from ledgerloom.sources.erp import ERP_TABLES, load_tables, register_views
+from ledgerloom.sources.erp import ERP_TABLES, conformed, landed, load_tables, register_views
 
 
 def one(df, column):
@@ -71,6 +74,8 @@ def test_validation_ladder(rows):
     assert one(Q.validated(df, "t", "SELECT").orderBy("i"), "message") == ["missing", "empty", "blank", "no keyword", "ok", "no keyword"]
     report = {r.message: (r.valid, r.texts) for r in Q.validation_report(df, "t", "SELECT").collect()}
     assert report["no keyword"] == (False, 2) and report["ok"] == (True, 1)
+    assert sorted(tuple(r)[:2] for r in Q.invalid_texts(df, "t", "SELECT").collect()) == [
+        (1, "missing"), (2, "empty"), (3, "blank"), (4, "no keyword"), (6, "no keyword")]
 
 
 def test_missing_fields(rows):
@@ -78,6 +83,15 @@ def test_missing_fields(rows):
     assert one(Q.missing_fields(df, ["a", "b"], "m").orderBy("i"), "m") == ["", "a", "a;b"]
 
 
+def test_scrub_takes_time_in_proportion(rows):
+    took = []
+    for n in (100_000, 1_000_000):
+        started = time.monotonic()
+        assert one(rows("t string", ("SELECT 1" + " " * n + "x \n ",)), F.length(scrubbed("t"))) == [n + 9]
+        took.append(time.monotonic() - started)
+    assert took[1] < 20 * took[0] + 5
+
+
 def test_scrub(rows):
     text = "-- head\nSET echo off;\n/* a\nb */ SELECT 1, 'x'\n\n  \nFROM t -- tail\nwhenever sqlerror exit;\nSPOOL a.txt;\nPROMPT hi;\n"
     assert one(rows("t string", (text,)), scrubbed("t")) == ["SELECT 1, 'x'\nFROM t"]
@@ -99,7 +113,16 @@ def test_references_and_access(rows, spark):
     checked = Q.access_check(refs, catalog)
     assert {r.object_name: r.found_type for r in checked.collect()} == {"NOTA": "TABLE", "DELIVERED": "FUNCTION", "PEDIDO": None}
     report = {r.requested_type: (r.total, r.accessible, r.missing, r.complete) for r in Q.access_report(checked).collect()}
-    assert report == {"tables": (2, 1, 1, False), "functions": (1, 1, 0, True)}
+    assert report == {"tables": (2, 1, 1, False), "functions": (1, 1, 0, True), "all": (3, 2, 1, False)}
+    assert [tuple(r) for r in Q.missing_objects(checked).collect()] == [("tables", "PEDIDO")]
+
+
+def test_access_to_the_sessions_catalog(rows, spark, tmp_path):
+    full_refresh(rows("id int", (1,)), "t_seen", str(tmp_path))
+    rows("id int", (1,)).createOrReplaceTempView("v_seen")
+    refs = scripts.script_references(rows("text string", ("FROM erp.T_Seen JOIN erp.v_seen, erp.Gone WHERE erp.abs(1)",)), "erp")
+    found = {r.object_name: r.found_type for r in Q.access_check(refs, Q.catalog_objects(spark)).collect()}
+    assert found == {"T_SEEN": "TABLE", "V_SEEN": "VIEW", "ABS": "FUNCTION"}
 
 
 def test_script_names(rows):
@@ -140,9 +163,47 @@ def test_table_may_be_refreshed_from_itself(rows, spark, tmp_path):
 
 
 def test_run_totals(rows, spark):
-    runs = rows("dataset string, succeeded boolean, records bigint", ("a", True, 10), ("b", False, 0), ("c", True, 5), ("d", True, 0))
-    assert tuple(Q.run_totals(runs).first()) == (3, 4, 15, 1, False, 75.0)
-    assert tuple(Q.run_totals(runs.where("false")).first()) == (0, 0, 0, 0, True, 0.0)
+    runs = rows("dataset string, succeeded boolean, records bigint, seconds double",
+                ("a", True, 10, 1.5), ("b", False, 0, 0.5), ("c", True, 5, None), ("d", True, 0, 1.0))
+    assert tuple(Q.run_totals(runs).first()) == (3, 4, 15, 1, 3.0, False, 75.0)
+    assert tuple(Q.run_totals(runs.where("false")).first()) == (0, 0, 0, 0, 0.0, True, 0.0)
+
+
+def test_errors_are_kept_whole_and_stop_nothing(rows, spark, tmp_path):
+    def failing(error):
+        def build():
+            raise error
+        return build
+
+    jobs = [("t_e1", failing(AssertionError())), ("t_e2", failing(ValueError("\nsecond line\n" + "x" * 3000 + "\nlast"))),
+            ("t_e3", lambda: rows("id int", (1,)))]
+    runs = {r.dataset: r for r in registry.refresh(spark, jobs, str(tmp_path), run_log="t_error_log").collect()}
+    assert runs["t_e1"].message == "AssertionError: " and runs["t_e3"].succeeded
+    assert runs["t_e2"].message == "ValueError: \nsecond line\n" + "x" * 3000 + "\nlast"
+    assert {r.dataset: r.message for r in spark.table("t_error_log").collect()} == {k: r.message for k, r in runs.items()}
+
+
+def test_names_of_any_characters_and_jobs_with_one_target(rows, spark, tmp_path):
+    for mode, n in (("refresh", 1), ("append", 2)):
+        for name in ("2024-sales", "p_my.report"):
+            runs = registry.refresh(spark, [(name, lambda: rows("id int", (1,)))], str(tmp_path), mode=mode).collect()
+            assert runs[0].succeeded, runs[0].message
+    assert spark.table("`2024_sales`").count() == spark.table("p_my_report").count() == n
+    runs = registry.refresh(spark, [("a-b", lambda: rows("id int", (1,))), ("a.b", lambda: rows("id int", (1,)))], str(tmp_path)).collect()
+    assert not any(r.succeeded for r in runs) and "2 jobs" in runs[0].message and not table_exists(spark, "a_b")
+    with pytest.raises(ValueError, match="mode"):
+        load(rows("id int"), "t_mode", str(tmp_path), "replace")
+
+
+def test_old_versions_are_emptied(rows, spark, tmp_path):
+    seen = []
+    for k in range(5):
+        full_refresh(rows("id int", (k,)), "t_versions", str(tmp_path), retain=2)
+        seen.append(versions(spark, "t_versions")[-1])
+    assert versions(spark, "t_versions") == seen[-2:]
+    assert [spark.read.schema("id int").parquet(v).count() for v in seen] == [0, 0, 0, 1, 1]
+    append(rows("id int", (9,)), "t_versions")
+    assert sorted(r.id for r in spark.table("t_versions").collect()) == [4, 9]
 
 
 def test_refresh_of_scripts(rows, spark, tmp_path):
@@ -185,12 +246,31 @@ def test_tables_from_a_folder(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     scans = str(registry.DATASETS["invoicing"](tables)._jdf.queryExecution().executedPlan().toString())
     for day in ("demi_not", "drec_nfe", "data_cds"):
-        assert f"GreaterThanOrEqual({day},2024-01-01)" in scans and f"LessThanOrEqual({day},2030-12-31)" in scans
+        assert f"GreaterThanOrEqual({day},2024-01-01" in scans and f"LessThanOrEqual({day},2030-12-31" in scans
     assert "EqualTo(situ_not,5)" in scans and "EqualTo(codi_pto,102)" in scans
-    assert "GreaterThanOrEqual(demi_ped,2024-01-01)" in str(registry.DATASETS["order_backlog"](tables)._jdf.queryExecution().executedPlan())
+    assert "GreaterThanOrEqual(demi_ped,2024-01-01" in str(registry.DATASETS["order_backlog"](tables)._jdf.queryExecution().executedPlan())
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_landed_tables_are_conformed(rows, spark, tmp_path):
+    """The source's numbers land as decimal(38,10), its days with a time, its names in upper case."""
+    for name, ddl in ERP_TABLES.items():
+        stored = ", ".join(f"{c.split()[0].upper()} {'decimal(38,10)' if c.split()[1] == 'bigint' else c.split()[1]}"
+                           for c in ddl.replace("(18,4)", "(38,10)").replace("(10,4)", "(38,10)").replace(",10)", "|10)").split(", "))
+        full_refresh(spark.createDataFrame([], stored.replace("|", ",")), name, str(tmp_path))
+    note = rows("demi_not timestamp, npre_not decimal(38,10), seri_not decimal(38,10)", (dt.datetime(2030, 12, 31, 10), D("3.0000000000"), D("1.50")))
+    append(note.select(*[F.col(c) if c in note.columns else F.lit(None).alias(c) for c in spark.table("nota").columns]), "nota")
+    tables = load_tables(spark, landed(spark))
+    row = tables["nota"].first()
+    assert (row.npre_not, row.demi_not) == (3, dt.datetime(2030, 12, 31, 10))
+    assert conformed(note, "seri_not string, npre_not bigint").first() == ("1.5", 3)
+    assert registry.DATASETS["invoicing"](tables).count() == 0
+    with pytest.raises(Exception, match="has a fraction: 1.5"):
+        conformed(note, "seri_not bigint").collect()
+    with pytest.raises(ValueError, match="missing"):
+        conformed(note, "other bigint")
+
+
 def test_refresh_of_all_nine(spark, tmp_path):
     tables, span = ErpTables(spark, SMALL), ("1995-01-01", "2030-12-31")
     facts = {"invoicing", "order_backlog"}
@@ -208,6 +288,7 @@ def test_jdbc_options():
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "100", "8")
     assert jdbc.write_options("t")["batchsize"] == "1000" and jdbc.write_options("t")["truncate"] == "true"
     assert jdbc.read_query(None, {}, "  ") is None
+    assert jdbc.catalog_query("o'x").endswith("owner = 'O''X'")
     with pytest.raises(ValueError):
         jdbc.table_options("t", "c", 0, 1, 0)
 
