@@ -15,22 +15,30 @@ def _least_neighbour(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("k", F.struct("u")).join(least, "k").select("u", "v", "least")
 
 
+def _hangs_twice(pairs: DataFrame) -> bool:
+    """Whether some node hangs on two others."""
+    return not pairs.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+
+
+def _hangs_deeper(pairs: DataFrame) -> bool:
+    """Whether some node hangs on one that hangs itself."""
+    hanging = pairs.select(F.struct("u").alias("k")).distinct()
+    return not pairs.select(F.struct(F.col("v").alias("u")).alias("k")).join(hanging, "k", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); the root is the least node that is connected.
 
-    Large-star and small-star rounds: every node hangs its neighbours onto the least one, until
-    nothing changes. The number of rounds grows with the logarithm of the longest path.
+    Large-star and small-star rounds: every node hangs its neighbours onto the least one, until no
+    node that hangs on another has one hanging on it. The number of rounds grows with the logarithm of
+    the longest path.
     """
     pairs = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = None
-    while True:
-        state = pairs.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if state == seen:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = state
+    while _hangs_twice(pairs) or _hangs_deeper(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
-        small = _least_neighbour(stored(large, "edges"))
+        small = _least_neighbour(large)
         hung = small.select("u", F.col("least").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("least").alias("v")))
         pairs = stored(hung.filter("u <> v").distinct(), "edges")
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
