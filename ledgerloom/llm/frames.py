@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ledgerloom.session import apply_settings, work_folder
 
 #: Bytes of text that one step over arrays handles; a longer text is a step of its own.
-STEP_BYTES = 1 << 22
+STEP_BYTES = 1 << 21
 
 
 def session(spark: SparkSession) -> SparkSession:

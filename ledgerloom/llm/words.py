@@ -8,7 +8,6 @@ class that names ASCII characters only acts on whole code points. Hashes have 64
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +38,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=_U)
 
 
-@cache
-def _power_tables(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = (1 << bits) + 1
-    return _powers(_BASE, n), _powers(_INVERSE, n)
+_tables: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base and its inverse: one pair of tables per process, of the largest n so far."""
+    if not _tables or len(_tables[0]) <= n:
+        size = 1 << int(n).bit_length()
+        _tables[:] = [_powers(_BASE, size), _powers(_INVERSE, size)]
+    return _tables[0], _tables[1]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the bytes of each span; equal bytes have equal hashes wherever they stand."""
-    up, down = _power_tables(max(16, int(len(data)).bit_length()))
+    up, down = _power_tables(max(1 << 16, len(data)))
     prefix = np.zeros(len(data) + 1, dtype=_U)
     np.cumsum(_BYTE[data] * up[: len(data)], out=prefix[1:], dtype=_U)
     return mixed((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(_U))
