@@ -1,20 +1,23 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
-
-The model has order ORDER over code points, with a start symbol before a text. Counts are gathered
-from all trusted documents that a model may learn from: the highest order counts occurrences, lower
-orders count the different symbols seen before. Every order has its own three discounts, estimated
-from its numbers of n-grams that occur once to four times; what they take goes to the next lower
-order, and from the lowest to all symbols alike, an unknown one included.
-
-The counts stay sharded tables: the different n-grams of the corpus are joined with the counts of
-every order, which gives one probability per n-gram. If these are at most BROADCAST_GRAMS rows, they
-are handed to all tasks; beyond that, documents are dealt into blocks by the hash of their id and
-each block is joined with the probabilities of its own n-grams only.
-
-A document is kept if its perplexity is at most the threshold of its language: the QUANTILE of the
-trusted documents of that language that were held out. A language without such documents takes the
-quantile over all of them; without any, all documents with text are kept. Null and empty texts have
-no perplexity and are not kept. Null languages form a group of their own. Repeated rows are scored
+"""Quality by perplexity under interpolated modified Kneser-Ney models of words and of characters.
+
+Words are what white space parts, as they stand, and their model has order WORD_ORDER with start symbols
+before a text. What it leaves to words it has not seen goes to the model of characters, of order ORDER over
+code points, which spells every word: p(word) = a * p(white space before) + b * p(white space and word
+spelled). White space after the last word is spelled. Counts are gathered from all trusted documents that
+a model may learn from: the highest order counts occurrences, lower orders count the different symbols
+seen before. Every order has its own three discounts, estimated from its numbers of n-grams that occur once
+to four times; what they take goes to the next lower order, and from the lowest order of characters to all
+symbols alike, an unknown one included.
+
+The counts stay sharded tables: n-grams are counted per task before they are added up. The model is one row
+per n-gram: what is left of its count, and its total and freed count as a context. If these are at most
+BROADCAST_GRAMS rows, they are handed to all tasks. Beyond that, documents are dealt into blocks of about
+BLOCK_CHARS, each block asks every shard of the model for its own n-grams, and is scored with the answers.
+
+Perplexity is per code point. A document is kept if it is at most the threshold of its language: the
+QUANTILE of the trusted documents of that language that were held out. A language without such documents
+takes the quantile over all of them; without any, all documents with text are kept. Null and empty texts
+have no perplexity and are not kept. Null languages form a group of their own. Repeated rows are scored
 alike.
 """
 
@@ -24,15 +27,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.frames import learning_row, steps, stored, with_computed
-from ledgerloom.llm.words import mixed
+from ledgerloom.llm.words import SPACED, Words, code_points, mixed, split_words
 
-ORDER, QUANTILE = 4, 0.995
-BROADCAST_GRAMS, BLOCK_CHARS = 1 << 20, 1 << 23
+ORDER, WORD_ORDER, QUANTILE = 4, 3, 0.995
+#: SHARD_CHARS: characters of the corpus for each shard of the model.
+BROADCAST_GRAMS, BLOCK_CHARS, SHARD_CHARS = 1 << 20, 1 << 23, 1 << 24
 SYMBOLS = tuple(f"s{k}" for k in range(1, ORDER + 1))
+WORDS = tuple(f"w{k}" for k in range(1, WORD_ORDER + 1))
 _DENSE = 1 << 24
 
 
@@ -137,58 +143,226 @@ def probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.withColumn("log2p", F.log2("p")).drop("p")
 
 
-class GramTable:
-    """Log probabilities by the hash of the n-gram."""
+def word_grams(texts: pa.Array) -> tuple[Words, np.ndarray]:
+    """The words and the n-gram that ends at each: rows of word hashes, 0 for the start."""
+    words = split_words(texts, SPACED)
+    own = words.hash.view(np.int64)
+    columns = [own]
+    for back in range(1, WORD_ORDER):
+        prior = np.zeros(len(own), np.int64)
+        same = words.doc[back:] == words.doc[:-back]
+        prior[back:][same] = own[:-back][same]
+        columns.insert(0, prior)
+    return words, np.stack(columns, 1)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(w1, ..., wN, c): the word n-grams of all texts, added up per step before they are shuffled."""
+
+    def count(batches):
+        for batch in batches:
+            for step in steps(batch, "text"):
+                _, kinds = word_grams(step.column(0))
+                _, first, counts = np.unique(gram_hashes(kinds), return_index=True, return_counts=True)
+                if len(first):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in kinds[first].T), pa.array(counts)], names=[*WORDS, "c"])
+
+    schema = ", ".join([*(f"{w} long" for w in WORDS), "c long"])
+    return docs.select("text").mapInArrow(count, schema).groupBy(*WORDS).agg(F.sum("c").alias("c"))
+
+
+MODEL = "gram long, rest float, total float, freed float"
+
+
+def _hashed(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Rows of MODEL from rows with the symbols of n-grams."""
+
+    def hashes(batches):
+        for batch in batches:
+            kinds = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(len(key))], 1)
+            yield pa.RecordBatch.from_arrays([pa.array(gram_hashes(kinds)), *batch.columns[len(key):]], names=["gram", "rest", "total", "freed"])
+
+    values = [(F.col(c) if c in rows.columns else F.lit(0.0)).cast("float").alias(c) for c in ("rest", "total", "freed")]
+    return rows.select(*key, *values).mapInArrow(hashes, MODEL)
+
+
+def word_model(counts: DataFrame) -> tuple[DataFrame, int, float, float]:
+    """Rows of MODEL of the counts (w1, ..., wN, c), at least how many they are, the total of the lowest order,
+    and the share it leaves to spelling."""
+    level, n_rows, c = counts, 0, F.col("c")
+    parts = []
+    for k in range(WORD_ORDER, 0, -1):
+        key = WORDS[WORD_ORDER - k:]
+        if k < WORD_ORDER:
+            level = level.groupBy(*key).agg(F.count("*").alias("c"))
+        n, total, *seen = level.agg(F.count("*"), F.sum("c"), *[F.count_if(c == i) for i in (1, 2, 3, 4)]).first()
+        n_rows += n
+        d1, d2, d3 = discounts(seen)
+        taken = F.least(F.when(c == 1, d1).when(c == 2, d2).otherwise(d3), c)
+        parts.append(_hashed(level.select(*key, (c - taken).alias("rest")), key))
+        if k > 1:
+            parts.append(_hashed(level.groupBy(*key[:-1]).agg(F.sum("c").alias("total"), F.sum(taken).alias("freed")), key[:-1]))
+    freed = level.agg(F.sum(taken)).first()[0]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    summed = rows.groupBy("gram").agg(*[F.sum(v).cast("float").alias(v) for v in ("rest", "total", "freed")])
+    return summed, n_rows, float(total or 1), freed / total if total else 1.0
+
+
+def asked_grams(texts: pa.Array) -> np.ndarray:
+    """Hashes, ascending, of all n-grams that scoring the texts looks up."""
+    _, kinds, _, _ = grams(texts)
+    _, words = word_grams(texts)
+    parts = [gram_hashes(kinds), *(gram_hashes(words[:, a:]) for a in range(WORD_ORDER)), *(gram_hashes(words[:, a:-1]) for a in range(WORD_ORDER - 1))]
+    return np.unique(np.concatenate(parts).view(np.uint64))
 
-    def __init__(self, hashes: np.ndarray, log2p: np.ndarray):
-        order = np.argsort(hashes)
-        self.hashes, self.log2p = hashes[order], log2p[order].astype(np.float32)
+
+class GramTable:
+    """The model by the hash of the n-gram. Those of characters have their log probability for a rest."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray, word_total: float, spelled: float):
+        self.hashes = hashes.view(np.uint64)
+        order = np.argsort(self.hashes)
+        self.hashes, self.values = self.hashes[order], values[order].astype(np.float32)
+        self.word_total, self.spelled = word_total, spelled
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each hash, and whether it is there."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes.view(np.uint64)), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes.view(np.uint64)
+
+    def _values(self, kinds: np.ndarray) -> np.ndarray:
+        """rest, total and freed of each n-gram, 0 for those that are not there."""
+        at, there = self.places(gram_hashes(kinds))
+        found = np.zeros((len(kinds), 3))
+        found[there] = self.values[at[there]]
+        return found
+
+    def _seen(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each word after those before it, and the share left to its spelling."""
+        seen, left = np.zeros(len(kinds)), np.ones(len(kinds))
+        for k in range(WORD_ORDER, 1, -1):
+            own, context = self._values(kinds[:, WORD_ORDER - k:]), self._values(kinds[:, WORD_ORDER - k:-1])
+            known = context[:, 1] > 0
+            total = np.where(known, context[:, 1], 1.0)
+            seen += left * np.where(known, own[:, 0] / total, 0.0)
+            left *= np.where(known, context[:, 2] / total, 1.0)
+        return seen + left * self._values(kinds[:, -1:])[:, 0] / self.word_total, left * self.spelled
 
     def perplexities(self, texts: pa.Array):
         number, kinds, _, offsets = grams(texts)
         n = np.diff(offsets)
         if not len(number):
             return [pa.array(n), pa.nulls(len(texts), pa.float64())]
-        own = self.log2p[np.searchsorted(self.hashes, gram_hashes(kinds))].astype(np.float64)
-        sums = np.bincount(np.repeat(np.arange(len(n)), n), weights=own[number], minlength=len(n))
+        spelled = np.concatenate([[0.0], np.cumsum(self._values(kinds)[number, 0])])  # log2 of all before a code point
+        words, kinds = word_grams(texts)
+        points = code_points(words.data)
+        start, end = points[words.start], points[words.end]
+        begin = np.concatenate([[0], end])[:-1]  # after the word before
+        first = np.flatnonzero(np.diff(words.doc, prepend=-1))
+        begin[first] = offsets[words.doc[first]]
+        seen, left = self._seen(kinds)
+        with np.errstate(divide="ignore"):
+            log2p = np.logaddexp2(np.log2(seen) + spelled[start] - spelled[begin], np.log2(left) + spelled[end] - spelled[begin])
+        after = offsets[:-1].copy()
+        np.maximum.at(after, words.doc, end)
+        sums = np.bincount(words.doc, weights=log2p, minlength=len(n)) + spelled[offsets[1:]] - spelled[after]
         return [pa.array(n), pa.array(np.exp2(-sums / np.maximum(n, 1)), mask=n == 0)]
 
 
 SCORED = "n_symbols long, perplexity double"
 
 
-def _hashed(batches):
-    for batch in batches:
-        kinds = np.stack([batch.column(k).to_numpy() for k in range(ORDER)], 1).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(gram_hashes(kinds)), batch.column(ORDER)], names=["gram", "log2p"])
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending hashes as differences, byte by byte, which compress well."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    parts = np.frombuffer(packed, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(parts).view(np.uint64).reshape(-1), dtype=np.uint64)
 
 
-def _scored_by_blocks(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
-    """Documents block by block, each block with the probabilities of its own n-grams."""
-    chars = docs.agg(F.sum(F.char_length(text))).first()[0] or 0
-    blocks = max(1, -(-chars // BLOCK_CHARS))
-    # Rows are spread by id and text, so neither a repeated id nor a hot key swells a block.
-    dealt = stored(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", text), F.lit(blocks)).cast("int")), "blocks")
+def _in_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
+    """docs with the block of each row: rows that a task reads in turn, so no key can swell a block."""
 
-    def own_grams(batches):
+    def deal(batches):
+        block, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            block = batch.column(1).to_numpy()
-            for b in np.unique(block).tolist():
-                _, kinds, _, _ = grams(batch.column(0).filter(pa.array(block == b)))
-                hashes = gram_hashes(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), b, np.int32)), pa.array(hashes)], names=["block", "gram"])
+            for step in steps(batch, "text"):
+                yield pa.RecordBatch.from_arrays([*step.columns, pa.array(np.full(step.num_rows, block))], names=[*step.schema.names, "block"])
+                size += pc.sum(pc.binary_length(step.column("text"))).as_py() or 0
+                if size >= block_chars:
+                    block, size = block + 1, 0
+
+    return stored(docs.mapInArrow(deal, docs.withColumn("block", F.lit(0).cast("long")).schema), "blocks")
+
 
-    asked = dealt.select(F.col(text).alias("text"), "block").mapInArrow(own_grams, "block int, gram long").distinct()
-    slices = asked.withColumn("k", F.struct("gram")).join(table.select(F.struct("gram").alias("k"), "log2p"), "k").select("block", "gram", "log2p")
-    names = [c for c in docs.columns if c != text]
+def _asked(dealt: DataFrame, shards: int) -> DataFrame:
+    """The hashes every block asks of every shard; shards are ranges of hashes."""
 
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = GramTable(right["gram"].to_numpy(), right["log2p"].to_numpy())
-        found = model.perplexities(left[text].combine_chunks())
-        return pa.table([*(left[c] for c in names), *found], names=[*names, "n_symbols", "perplexity"])
+    def rows(block: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.unique(np.concatenate(parts))
+        shard = ((keys >> np.uint64(33)) * np.uint64(shards)) >> np.uint64(31)
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(keys)]
+        cuts = list(zip(cuts, cuts[1:])) if len(keys) else []
+        return pa.RecordBatch.from_arrays([
+            pa.array([int(shard[a]) for a, _ in cuts], pa.int32()), pa.array([block] * len(cuts), pa.int64()),
+            pa.array([_packed(keys[a:b]) for a, b in cuts], pa.binary())], names=["shard", "block", "keys"])
+
+    def ask(batches):
+        block, parts = None, []
+        for batch in batches:
+            for step in steps(batch, "text"):
+                of = step.column(1).to_numpy()
+                for a, b in zip(cuts := [0, *(np.flatnonzero(np.diff(of)) + 1).tolist()], [*cuts[1:], len(of)]):
+                    if block != of[a] and parts:
+                        yield rows(block, parts)
+                        parts = []
+                    block = int(of[a])
+                    parts.append(asked_grams(step.column(0).slice(a, b - a)))
+        if parts:
+            yield rows(block, parts)
+
+    return dealt.select("text", "block").mapInArrow(ask, "shard int, block long, keys binary")
+
+
+def _scored_by_blocks(docs: DataFrame, model: DataFrame, word_total: float, spelled: float) -> DataFrame:
+    """Documents block by block, each block with the part of the model that it asked for."""
+    chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    shards = max(1, -(-chars // SHARD_CHARS))
+    dealt = _in_blocks(docs, BLOCK_CHARS)
+    sharded = model.withColumn("shard", F.shiftright(F.shiftrightunsigned("gram", 33) * F.lit(shards).cast("long"), 31).cast("int"))
+    answer = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("found", pa.binary())])
+
+    def table(of: pa.Table) -> GramTable:
+        values = np.stack([of[c].to_numpy() for c in ("rest", "total", "freed")], 1)
+        return GramTable(of["gram"].to_numpy(), values, word_total, spelled)
+
+    def find(asked: pa.Table, part: pa.Table) -> pa.Table:
+        own, out = table(part), []
+        for block, packed in zip(asked["block"].to_pylist(), asked["keys"]):
+            keys = _unpacked(packed.as_py())
+            at, there = own.places(keys)
+            out.append({"block": block, "keys": _packed(keys[there]), "found": own.values[at[there]].T.tobytes()})
+        return pa.Table.from_pylist(out, answer)
+
+    answers = _asked(dealt, shards).groupBy("shard").cogroup(sharded.groupBy("shard")).applyInArrow(find, "block long, keys binary, found binary")
+    names = [c for c in docs.columns if c != "text"]
+
+    def score(rows: pa.Table, found: pa.Table) -> pa.Table:
+        keys = [_unpacked(k) for k in found["keys"].to_pylist()]
+        values = [np.frombuffer(v, np.float32).reshape(3, -1).T for v in found["found"].to_pylist()]
+        own = GramTable(np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*values, np.zeros((0, 3), np.float32)]), word_total, spelled)
+        out = [pa.RecordBatch.from_arrays([*(step.column(c) for c in names), *own.perplexities(step.column("text"))], names=[*names, "n_symbols", "perplexity"])
+               for batch in rows.to_batches() for step in steps(batch, "text")]
+        return pa.Table.from_batches(out)
 
     shown = ", ".join(f"`{c}` {t}" for c, t in docs.select(names).dtypes)
-    return dealt.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(score, f"{shown}, {SCORED}")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"{shown}, {SCORED}")
 
 
 def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -198,16 +372,18 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     trusted = labels.filter(F.col(label) == 1).select(F.col(doc_id).alias("doc_id"))
     # Hashed ids of trusted documents, so texts are dealt out by id but never sorted, at any size.
-    learned = plain.join(trusted.filter(learn_from).hint("shuffle_hash"), "doc_id", "left_semi")
+    learned = stored(plain.join(trusted.filter(learn_from).hint("shuffle_hash"), "doc_id", "left_semi"), "learned")
     counts = stored(gram_counts(learned), "counts")
     wanted = gram_counts(plain).drop("c")
-    table = stored(probabilities(counts, wanted).select(*SYMBOLS, "log2p").mapInArrow(_hashed, "gram long, log2p double"), "probabilities")
-    if table.count() <= broadcast_grams:
-        rows: pd.DataFrame = table.toPandas()  # at most broadcast_grams rows
-        model = GramTable(rows["gram"].to_numpy(), rows["log2p"].to_numpy())
-        found = with_computed(plain, SCORED, model.perplexities, keep=("doc_id", "lang"))
+    letters = stored(_hashed(probabilities(counts, wanted).withColumnRenamed("log2p", "rest"), SYMBOLS), "probabilities")
+    words, n_words, word_total, spelled = word_model(stored(word_counts(learned), "word_counts"))
+    model = letters.unionByName(words)
+    if letters.count() + n_words <= broadcast_grams:
+        rows: pd.DataFrame = model.toPandas()  # contexts are n-grams too, but for those of the start: about broadcast_grams rows at most
+        table = GramTable(rows["gram"].to_numpy(), rows[["rest", "total", "freed"]].to_numpy(), word_total, spelled)
+        found = with_computed(plain, SCORED, table.perplexities, keep=("doc_id", "lang"))
     else:
-        found = _scored_by_blocks(plain, table, "text")
+        found = _scored_by_blocks(plain, model, word_total, spelled)
     found = stored(found, "perplexity")
     calibrating = found.join(trusted.filter(~learn_from), "doc_id", "left_semi").filter("perplexity IS NOT NULL")
     accuracy = 10_000
@@ -217,6 +393,3 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     joined = found.withColumn("k", F.struct("lang")).join(limits, "k", "left").withColumn("threshold", threshold)
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return joined.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", kept.alias("kept"))
-
-
-
