@@ -1,11 +1,12 @@
 """Packing of documents into sequences: best fit, then local search by moves and exchanges.
 
 Pieces are dealt evenly into groups of at most GROUP_PIECES. In each group the pieces go, longest
-first, into the sequence with the least room that still holds them. Then the emptiest sequence is
-emptied step by step: a piece moves to a fuller sequence with room, or is exchanged for a shorter
-piece there, or two pieces are exchanged for one. Every step increases the sum of squared fills, so
-the search ends; it also ends when the room elsewhere could not hold what the sequence has left,
-for then no sequence can be saved. Pieces of sequences that stay underfull in their groups are dealt
+first, into the sequence with the least room that still holds them. Then sequences are emptied step
+by step, the emptiest first: a piece moves to another sequence with room, or is exchanged for a
+shorter piece there, or two pieces are exchanged for one. If a sequence has no step left, the next one
+is tried. Every step increases the sum of squared fills, so the search ends: when a pass over all
+sequences finds no step, or when all room together is less than a sequence, for then none can be
+saved. Pieces of sequences that stay underfull in their groups are dealt
 and packed once more together.
 
 Null text: an empty one, so its only id is the end id. Repeated rows are packed as often as they
@@ -88,23 +89,30 @@ class _Search:
         self.fill = np.bincount(self.at, weights=lengths, minlength=len(found)).astype(np.int64)
 
     def run(self) -> list[list[int]]:
-        for source in np.argsort(self.fill, kind="stable").tolist():
-            if not self._empty(source):
-                break
+        least = -(-int(self.fill.sum()) // self.capacity)
+        stepped = True
+        while stepped:
+            stepped = False
+            for source in np.argsort(self.fill, kind="stable").tolist():
+                if np.count_nonzero(self.fill) <= least:
+                    return [own for own in self.found if own]
+                stepped |= self._empty(source)
         return [own for own in self.found if own]
 
     def _empty(self, source: int) -> bool:
-        """Empty one sequence; False if the others have too little room or no step is left."""
+        """Empty one sequence as far as there are steps; whether there was any."""
+        stepped = False
         while self.found[source]:
             room = self.capacity - self.fill
             room[(self.fill == 0) | (np.arange(len(room)) == source)] = 0
-            if room.sum() < self.fill[source] or not (self._move(source, room) or self._exchange(source, room)):
-                return False
-        return True
+            if not (self._move(source, room) or self._exchange(source, room)):
+                break
+            stepped = True
+        return stepped
 
     def _move(self, source: int, room: np.ndarray) -> bool:
         for i in sorted(self.found[source], key=lambda i: -self.lengths[i]):
-            fits = np.flatnonzero(room >= self.lengths[i])
+            fits = np.flatnonzero((room >= self.lengths[i]) & (self.fill + self.lengths[i] > self.fill[source]))
             if len(fits):
                 self._swap(source, [i], int(fits[np.argmin(room[fits])]), [])
                 return True
@@ -116,7 +124,7 @@ class _Search:
         size, space = self.lengths[others], room[self.at[others]]
         own = self.found[source]
         singles = [[i] for i in own]
-        pairs = [[i, j] for x, i in enumerate(own) for j in own[:x]]
+        pairs = {int(self.lengths[i] + self.lengths[j]): [i, j] for x, i in enumerate(own) for j in own[:x]}.values()
         for given in (singles, pairs):
             best = (0, None, None)
             for some in given:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import perplexity
+from ledgerloom.llm import packing, perplexity
 from ledgerloom.llm.frames import session
 
 
@@ -77,3 +77,25 @@ def test_rows_of_the_language_model_grow_with_the_text(spark, rows):
     texts = [" ".join(f"w{i}" for i in draw.integers(0, 300, 200)) for _ in range(40)]
     counts = [perplexity.word_model(perplexity.word_counts(rows("text string", *((t,) for t in texts[:n]))))[0].count() for n in (10, 40)]
     assert counts[1] > 2.5 * counts[0]
+
+
+# --- packing
+
+def thirds(draw):
+    return draw.integers(1000, 1701, 1300)
+
+
+def thirds_to_halves(draw):
+    return draw.integers(700, 2201, 1300)
+
+
+def thirds_and_two_thirds(draw):
+    return np.concatenate([draw.integers(1330, 1421, 900), draw.integers(2600, 2801, 300)])
+
+
+@pytest.mark.parametrize("lengths, share", [(thirds, 0.95), (thirds_to_halves, 0.99), (thirds_and_two_thirds, 0.98)])
+def test_local_search_beats_best_fit(lengths, share):
+    lengths = lengths(np.random.default_rng(5))
+    sequence, _, fill = packing.packed_group(lengths, 4096)
+    assert len(np.unique(sequence)) <= share * len(packing.best_fit(lengths, 4096))
+    assert (np.bincount(sequence, weights=lengths)[sequence] == fill).all() and fill.max() <= 4096
