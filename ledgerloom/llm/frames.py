@@ -96,10 +96,12 @@ def texts_of(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def least_hashed(df: DataFrame, column: str, rows: int) -> DataFrame:
-    """At most `rows` rows, those of the least hash of a column: a sample that stays the same.
+    """At most `rows` different rows, those of the least hash of a column: a sample that stays the same.
 
-    Only about as many rows as are wanted are sorted: the rest is left out by the hash alone.
+    Rows without a value are left out. Only about as many rows as are wanted are sorted: the rest is left
+    out by the hash alone.
     """
+    df = df.filter(F.col(column).isNotNull()).distinct()
     n, top = df.count(), 1 << 32
     place = F.pmod(F.xxhash64(column), F.lit(top))
     if n > rows:

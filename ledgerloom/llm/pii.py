@@ -235,7 +235,7 @@ def _spliced(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
 def learned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagger | None:
     """A tagger of the windows of LEARN_DOCS documents, those of the least hash of their id."""
     plain = texts_of(docs, doc_id, text)
-    some = least_hashed(plain.select("doc_id"), "doc_id", LEARN_DOCS).distinct()
+    some = least_hashed(plain.select("doc_id"), "doc_id", LEARN_DOCS)
 
     def cut(batches):
         for batch in batches:

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing, perplexity
-from ledgerloom.llm.frames import session
+from ledgerloom.llm import packing, perplexity, pii, quality, toxicity
+from ledgerloom.llm.frames import least_hashed, session
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -99,3 +99,30 @@ def test_local_search_beats_best_fit(lengths, share):
     sequence, _, fill = packing.packed_group(lengths, 4096)
     assert len(np.unique(sequence)) <= share * len(packing.best_fit(lengths, 4096))
     assert (np.bincount(sequence, weights=lengths)[sequence] == fill).all() and fill.max() <= 4096
+
+
+# --- samples to learn from
+
+TEN = "/root/testdata/sf0.01"
+
+
+def test_samples_are_of_different_ids(rows):
+    ids = rows("id long", *[(None,)] * 50, *[(7,)] * 50, *((i,) for i in range(20)))
+    found = [r["id"] for r in least_hashed(ids, "id", 15).collect()]
+    assert len(set(found)) == 15 and None not in found
+
+
+def test_labels_without_id_take_no_place_in_the_sample(spark, rows):
+    docs, labels = (spark.read.parquet(f"{TEN}/{t}.parquet") for t in ("documents", "labels"))
+    more = labels.unionByName(spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"),
+                                                      (F.col("id") % 2).cast("int").alias("toxic")))
+    for run in (toxicity.scored, quality.judged):
+        own, same = ({(r["doc_id"], round(r["score"], 9)) for r in run(docs, of, rows=250).select("doc_id", "score").collect()} for of in (labels, more))
+        assert own == same and len({score for _, score in own}) > 2
+
+
+def test_documents_without_id_or_with_a_hot_one_take_no_place_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(pii, "LEARN_DOCS", 300)
+    docs = spark.read.parquet(f"{TEN}/documents.parquet").select("doc_id", "text")
+    more = docs.unionByName(spark.range(600).select(F.when(F.col("id") % 2 == 0, F.lit(-5)).cast("long").alias("doc_id"), F.lit("no such data").alias("text")))
+    assert pii.learned(docs) is not None and pii.learned(more) is not None
