@@ -4,7 +4,7 @@ The vocabulary's pre-tokenizer drops white space, parts letters from other chara
 case is folded; its merges never cross such a border. So a text's ids are those of its parts in a
 row, if it is cut at blanks and line feeds and between a letter of ASCII or Latin-1 and an ASCII
 sign other than the apostrophe (which may begin a piece with letters). Tests compare this with the
-encoding of whole texts. A part met again is looked up by its 64-bit hash; the table of known parts
+encoding of whole texts. Texts that hold the string of an added token are encoded whole. A part met again is looked up by its 64-bit hash; the table of known parts
 starts anew when it has grown to its bound, which costs time and never changes results.
 """
 
@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerloom.llm.words import span_hashes, text_bytes
 
@@ -59,7 +60,7 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends_piece = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_piece[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -72,6 +73,17 @@ class PartEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32) and the n + 1 offsets of the texts."""
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.fill_null(pc.match_substring(texts, token, ignore_case=True), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_parts(texts)
+        ids, offsets = self._by_parts(pc.if_else(pa.array(whole), pa.scalar("", texts.type), texts))
+        own = [self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids if whole[i] else ids[offsets[i]: offsets[i + 1]]
+               for i in range(len(texts))]
+        return np.concatenate(own).astype(np.uint32), np.cumsum([0, *map(len, own)])
+
+    def _by_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, start, end, begins = parts(texts)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)

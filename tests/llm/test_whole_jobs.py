@@ -4,11 +4,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import packing, perplexity, pii, quality, toxicity
 from ledgerloom.llm.frames import least_hashed, session
+from ledgerloom.llm.tokens import encoder, vocabulary
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -126,3 +128,15 @@ def test_documents_without_id_or_with_a_hot_one_take_no_place_in_the_sample(spar
     docs = spark.read.parquet(f"{TEN}/documents.parquet").select("doc_id", "text")
     more = docs.unionByName(spark.range(600).select(F.when(F.col("id") % 2 == 0, F.lit(-5)).cast("long").alias("doc_id"), F.lit("no such data").alias("text")))
     assert pii.learned(docs) is not None and pii.learned(more) is not None
+
+
+# --- token ids
+
+def test_ids_are_those_of_an_untouched_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary())
+    texts = ["it's <|endoftext|> don't", None, "one two", "a<|StartOfText|>b<|startoftext|>", "", "<|endoftext|><|endoftext|>", "<| endoftext |>"]
+    ids, offsets = encoder(vocabulary()).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert 49407 in ids
