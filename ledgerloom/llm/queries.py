@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, perplexity, pii, quality, rollups, toxicity
-from ledgerloom.llm.frames import held_out, shared_path, stored, table
+from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, periodic, perplexity, pii, quality, rollups, toxicity
+from ledgerloom.llm.frames import held_out, shared_path, stored, table, with_computed
 from ledgerloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -154,3 +158,55 @@ def op10_personal_data(spark, sf_dir):
 
     counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of ASCII text, bit by bit."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _planted(texts: pa.Array, ids: pa.Array) -> pa.Array:
+    """The texts; in one of ten, by crc32 of the id, the words from some place on repeat a pattern."""
+    out = []
+    for text, doc_id in zip(texts.to_pylist(), ids.to_pylist()):
+        h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and (words := re.findall(r"[^\x20\x09-\x0D]+", text or "")):
+            n, g = len(words), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            text = " ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
+# Pairs of equal words at lags of up to a third of the text; neighbouring pairs of one lag are a stretch. Of the
+# stretches over the same words the smallest lag is the period.
+@query(rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+cut AS (SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a, 3 + (h // 10) % 8 AS parts FROM doc),
+word AS (SELECT doc_id, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM cut)),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair) GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+run AS (SELECT * FROM stretch r WHERE NOT EXISTS (
+    SELECT 1 FROM stretch o WHERE o.doc_id = r.doc_id AND o.q < r.q AND r.q % o.q = 0 AND o.s <= r.s AND o.s + o.n >= r.s + r.n)),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM run GROUP BY doc_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(n AS DOUBLE) / q DESC, s, q) AS place FROM run),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM word ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(n AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+    CAST(1000 * n // q AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, s, n, q FROM best WHERE place = 1) USING (doc_id)
+""")
+def op13_periodic_runs(spark, sf_dir):
+    found = with_computed(
+        table(spark, sf_dir, "documents"), periodic.RUNS, lambda texts, ids: periodic.runs_of(_planted(texts, ids)), also=("doc_id",), keep=("doc_id",))
+    run = periodic.strongest()
+    return found.withColumn("run", run).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"run.{k}") for k in ("start", "length", "period")),
+        F.expr("1000 * run.length div run.period").alias("exponent_milli"), F.sha2(periodic.listed().cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
