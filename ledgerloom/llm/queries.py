@@ -8,7 +8,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontamination, idstore, neardups, packing, periodic, perplexity, pii, quality, rollups, toxicity
+from ledgerloom.llm import chat, decontamination, idstore, manifest, neardups, packing, periodic, perplexity, pii, quality, rollups, toxicity
 from ledgerloom.llm.frames import held_out, shared_path, stored, table, with_computed
 from ledgerloom.llm.tokens import vocabulary
 
@@ -210,3 +210,59 @@ def op13_periodic_runs(spark, sf_dir):
         F.expr("1000 * run.length div run.period").alias("exponent_milli"), F.sha2(periodic.listed().cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf_sql(text: str) -> str:
+    columns = (*_LEAF_COLUMNS[:-1], text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+# One recursion builds the trees of the languages, one the tree over them; a third folds each leaf upwards.
+@query(f"""
+WITH RECURSIVE leaf AS (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf_sql("text")} AS leaf,
+        CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {_leaf_sql("text")} END AS claim
+    FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaf),
+node AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+    UNION ALL SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY tree, level, pos // 8, n),
+subroot AS (SELECT tree, level, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (
+    SELECT 0 AS level, pos, n, subroot AS h FROM subroot
+    UNION ALL SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 8, n),
+every AS (
+    SELECT tree, level, pos, n, h FROM node WHERE n > 1
+    UNION ALL SELECT s.tree, s.level + t.level, t.pos, t.n, t.h FROM subroot s, top t),
+fold AS (
+    SELECT p.doc_id, p.tree, p.leaf, 0 AS level, CASE WHEN p.n = 1 THEN s.pos ELSE p.pos END AS pos, p.claim AS h, '' AS siblings FROM placed p JOIN subroot s USING (tree)
+    UNION ALL
+    SELECT f.doc_id, f.tree, f.leaf, f.level + 1, CASE WHEN f.level + 1 = any_value(s.level) THEN any_value(s.pos) ELSE f.pos // 8 END,
+        sha256(string_agg(CASE WHEN e.pos = f.pos THEN f.h ELSE e.h END, '' ORDER BY e.pos)),
+        f.siblings || coalesce(string_agg(e.h, '' ORDER BY e.pos) FILTER (e.pos <> f.pos), '')
+    FROM fold f JOIN every e ON e.tree = f.tree AND e.level = f.level AND e.pos // 8 = f.pos // 8 AND e.n > 1 JOIN subroot s ON s.tree = f.tree
+    GROUP BY f.doc_id, f.tree, f.leaf, f.level, f.pos, f.h, f.siblings),
+done AS (SELECT * FROM fold QUALIFY level = max(level) OVER (PARTITION BY tree, doc_id, leaf))
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM done JOIN subroot USING (tree), (SELECT h AS root FROM top WHERE n = 1)
+""")
+def op11_merkle_manifest(spark, sf_dir):
+    """Documents whose id's crc32 is divisible by 3 come back with their capitals lost; the rest as they were."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.translate("text", _UPPER, _LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = F.when(tampered, F.unhex(manifest.leaf(*_LEAF_COLUMNS[:-1], text)))
+    found = manifest.Manifest(docs, _LEAF_COLUMNS, group="lang", key="doc_id", carry={"claim": claim}).proofs()
+
+    def hexed(column):
+        return F.lower(F.hex(column))
+
+    folded = found.withColumn("folded_root", manifest.folded(hexed(F.coalesce("claim", "digest"))))
+    return folded.select(
+        F.col("key").alias("doc_id"), hexed("digest").alias("leaf"), hexed("subroot").alias("subroot"), hexed("root").alias("root"),
+        F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == hexed("root")).alias("verified"),
+    )
