@@ -8,7 +8,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontamination, idstore, manifest, neardups, packing, periodic, perplexity, pii, quality, rollups, toxicity
+from ledgerloom.llm import (chat, decontamination, idstore, linestore, manifest, neardups, packing, periodic, perplexity, pii, quality, rollups,
+                            toxicity)
 from ledgerloom.llm.frames import held_out, shared_path, stored, table, with_computed
 from ledgerloom.llm.tokens import vocabulary
 
@@ -266,3 +267,17 @@ def op11_merkle_manifest(spark, sf_dir):
         F.col("key").alias("doc_id"), hexed("digest").alias("leaf"), hexed("subroot").alias("subroot"), hexed("root").alias("root"),
         F.sha2(F.col("siblings").cast("binary"), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == hexed("root")).alias("verified"),
     )
+
+
+@query(f"""
+WITH line AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM line),
+common AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT k.*, c.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM keyed k LEFT JOIN common c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op12_line_dedup(spark, sf_dir):
+    found = linestore.without_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
