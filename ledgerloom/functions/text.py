@@ -33,19 +33,35 @@ IGNORED_NAMES = [r"^test.*\.sql$", r".*_test\.sql$", r"^backup.*\.sql$", r".*_ba
 SCRIPT_SUFFIXES = [".sql"]
 
 
-def scrubbed(text: Column | str) -> Column:
-    """Script text without comments, client commands and blank lines, trimmed."""
-    column = F.col(text) if isinstance(text, str) else text
-    for pattern, replacement in SCRUB_PATTERNS:
-        column = F.regexp_replace(column, pattern, replacement)
-    return F.btrim(column, F.lit(BLANKS))
+def _cut_up_to_last(column: Column, mark: str, patterns: Sequence[tuple[str, str]]) -> Column:
+    """Replace patterns that end in `mark`, in the text up to its last mark.
+
+    Nothing behind the last mark can match. Left out, it cannot make every beginning that is never closed search
+    to the end of the text: each beginning that is looked at finds its mark, and the next search goes on behind it.
+    """
+    def cut(text: Column) -> Column:
+        rest = F.substring_index(text, mark, -1)
+        closed = F.substr(text, F.lit(1), F.char_length(text) - F.char_length(rest))
+        for pattern, replacement in patterns:
+            closed = F.regexp_replace(closed, pattern, replacement)
+        return F.concat(closed, rest)
+
+    # One element of an array: the text is computed once, though it is used three times.
+    return F.transform(F.array(column), cut)[0]
 
 
 def uncommented(text: Column | str) -> Column:
+    """Script text without line and block comments, in time proportional to its length."""
     column = F.col(text) if isinstance(text, str) else text
-    for pattern, replacement in SCRUB_PATTERNS[:2]:
-        column = F.regexp_replace(column, pattern, replacement)
-    return column
+    line, block = SCRUB_PATTERNS[:2]
+    return _cut_up_to_last(F.regexp_replace(column, *line), "*/", [block])
+
+
+def scrubbed(text: Column | str) -> Column:
+    """Script text without comments, client commands and blank lines, trimmed."""
+    *commands, blank_lines = SCRUB_PATTERNS[2:]
+    column = _cut_up_to_last(uncommented(text), ";", commands)
+    return F.btrim(F.regexp_replace(column, *blank_lines), F.lit(BLANKS))
 
 
 def contains_word(text: Column | str, word: str) -> Column:

@@ -15,11 +15,13 @@ spark.sql.autoBroadcastJoinThreshold and falls back to a shuffled join beyond it
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import ratio
 
@@ -77,29 +79,98 @@ def share_of_total(
     return joined.withColumn(name, ratio(top, "_total")).drop("_total")
 
 
+#: What one packed word holds: a whole number below this.
+_WORD = 10 ** 38
+_DAY_MICROS = 86_400_000_000
+
+
+def _whole(number: int) -> Column:
+    return F.lit(str(number)).cast("decimal(38,0)")
+
+
+def _coded(column: Column, kind: T.DataType) -> tuple[Column, int] | None:
+    """An order-preserving whole number from 0 for the values of a type, and how many values there are; None for other types."""
+    wide = "decimal(38,0)"
+    if isinstance(kind, T.BooleanType):
+        return column.cast("int").cast(wide), 2
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        half = 1 << (8 * {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}[kind.simpleString()] - 1)
+        return column.cast(wide) + _whole(half), 2 * half
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        most = 10 ** kind.precision
+        # The unscaled value: multiplied within a type that holds every digit.
+        return (column.cast(f"decimal({kind.precision + kind.scale},{kind.scale})") * _whole(10 ** kind.scale)).cast(wide) + _whole(most), 2 * most
+    first = dt.date(1, 1, 1).toordinal() - dt.date(1970, 1, 1).toordinal()
+    days = dt.date(9999, 12, 31).toordinal() - dt.date(1, 1, 1).toordinal() + 1
+    if isinstance(kind, T.DateType):
+        return (F.unix_date(column) - F.lit(first)).cast(wide), days
+    if isinstance(kind, T.TimestampNTZType):
+        day = (F.unix_date(column.cast("date")) - F.lit(first)).cast("bigint") * F.lit(_DAY_MICROS)
+        seconds = (F.hour(column) * 3600 + F.minute(column) * 60).cast("bigint") * F.lit(1_000_000)
+        return (day + seconds + (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("bigint")).cast(wide), days * _DAY_MICROS
+    if isinstance(kind, T.TimestampType):
+        return (F.unix_micros(column) - F.lit(first * _DAY_MICROS)).cast(wide), days * _DAY_MICROS
+    return None
+
+
+def packed_order(columns: Sequence[tuple[Column, T.DataType]]) -> list[tuple[Column, bool]]:
+    """Columns as few order-preserving words, the first counting most, NULL as the greatest of each column.
+
+    Numbers, amounts and days are packed, several to a word (a decimal of 38 digits; a receipt time and a
+    number of 64 bits fill one). Other types are a word of their own that is not packed (False).
+    """
+    words: list[tuple[Column, bool]] = []
+    room = 0
+    for column, kind in columns:
+        coded = _coded(column, kind)
+        if coded is None:
+            words.append((column, False))
+            room = 0
+            continue
+        code, values = coded
+        filled = F.coalesce(code, _whole(values))
+        if room >= values + 1:
+            # One step of a word is as much as all values of the column.
+            words[-1] = ((words[-1][0] * _whole(values + 1)).cast("decimal(38,0)") + filled).cast("decimal(38,0)"), True
+            room //= values + 1
+        else:
+            words.append((filled.cast("decimal(38,0)"), True))
+            room = _WORD // (values + 1)
+    return words
+
+
 def latest_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], **values: Column | str,
 ) -> DataFrame:
     """The named values of the last row per key, ordered by `order` with NULL as the greatest.
 
     Give enough order columns to make the choice unique; of rows that agree in all of them, the
-    greatest of each value is taken. Each order column keeps, per key, the rows that are greatest in
-    it: a hash aggregate with one row per key and task, joined back by a struct of
-    the keys, so that neither step sorts the input and a hot key is combined and split. The rows
-    thin out from column to column. Order by numbers and days; the greatest of a text is found by
-    sorting, here as everywhere in Spark.
+    greatest of each value is taken. The order columns are packed into words. Per word, a hash aggregate with one
+    row per key and task finds the greatest among the rows that the words before have left, and the
+    rows meet all of these maxima at the end. So the input is never sorted, a hot key is combined before
+    each shuffle and split in each join, and df is read once per word and once more, whatever the number of
+    order columns. The greatest of a text (no packed word) is found by sorting, as everywhere in Spark.
     """
     def column(c: Column | str) -> Column:
         return F.col(c) if isinstance(c, str) else c
 
-    ranks = [f"_r{i}" for i in range(len(order))]
-    ranked = [column(c).alias(r) for c, r in zip(order, ranks)]
-    rows = df.select(F.struct(*keys).alias("_key"), *ranked, *[column(c).alias(f"_v_{n}") for n, c in values.items()])
-    for rank in ranks:
-        top = totals_by(rows.select("_key", rank), ["_key"], _null=F.max(F.col(rank).isNull()), _top=F.max(rank))
-        rows = lookup(rows, top, {"_key": "_key"}, {"_null": "_null", "_top": "_top"}, "inner")
-        rows = rows.where(F.when(F.col("_null"), F.col(rank).isNull()).otherwise(F.col(rank) == F.col("_top"))).drop("_null", "_top", rank)
-    return totals_by(rows, ["_key"], **{n: F.max(f"_v_{n}") for n in values}).select("_key.*", *values)
+    named = df.select(F.struct(*keys).alias("_key"), *[column(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      *[column(c).alias(f"_v_{n}") for n, c in values.items()])
+    words = packed_order([(F.col(f"_o{i}"), named.schema[f"_o{i}"].dataType) for i in range(len(order))])
+    ranks = [f"_w{i}" for i in range(len(words))]
+    rows = named.select("_key", *[w.alias(r) for (w, _), r in zip(words, ranks)], *[f"_v_{n}" for n in values])
+    best, found = rows, []
+    for rank, (_, packed) in zip(ranks, words):
+        # NULL is a value of its own where the word is not packed.
+        top = {f"_t{rank}": F.max(rank), **({} if packed else {f"_n{rank}": F.max(F.col(rank).isNull())})}
+        carried = {c: F.max(c) for c in found}
+        tops = totals_by(best, ["_key"], **top, **carried)
+        found += list(top)
+        met = lookup(rows, tops, {"_key": "_key"}, {c: c for c in found}, "inner")
+        same = [F.when(F.col(f"_n{r}"), F.col(r).isNull()).otherwise(F.col(r) == F.col(f"_t{r}")) if f"_n{r}" in found else F.col(r) == F.col(f"_t{r}")
+                for r in ranks[: ranks.index(rank) + 1]]
+        best = met.where(reduce(lambda a, b: a & b, same))
+    return totals_by(best, ["_key"], **{n: F.max(f"_v_{n}") for n in values}).select("_key.*", *values)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import SMALL
@@ -77,6 +78,50 @@ def test_latest_agrees_with_brute_force(spark):
     assert dict(collected(latest_by(df, ["k"], ["a", "b", "i"], i="i"), "k", "i")) == {k: v[1] for k, v in best.items()}
 
 
+def test_latest_by_any_types(spark):
+    """NULLs, ties, negative and extreme values, packed into words, or not (text)."""
+    rnd = random.Random(1)
+
+    def some(*values):
+        return rnd.choice([None, *values])
+
+    data = [(rnd.randrange(200), some(-2**63, 2**63 - 1, 0, -1, 5), some(dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999_999), dt.datetime(9999, 12, 31, 23, 59, 59, 1)),
+             some(dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(9999, 12, 31)), some(*map(Decimal, ("-99999999999999.9999", "0", "0.0001", "-0.0001", "99999999999999.9999"))),
+             some("a", "b", ""), some(True, False), i) for i in range(4000)]
+    df = spark.createDataFrame(data, "k int, n bigint, t timestamp_ntz, d date, p decimal(18,4), s string, b boolean, i int")
+    for order in (["n", "t", "d", "p", "s", "b", "i"], ["t", "n"], ["b", "d", "n"], ["p", "t", "n"], ["s"], ["p", "s", "n"]):
+        best, at = {}, [df.columns.index(c) for c in order]
+        for row in data:
+            rank = tuple((row[j] is None, row[j] if row[j] is not None else 0) for j in at)
+            best[row[0]] = max(best.get(row[0], (rank, row[7])), (rank, row[7]))
+        assert dict(collected(latest_by(df, ["k"], order, i="i"), "k", "i")) == {k: v[1] for k, v in best.items()}, order
+
+
+def relations(df):
+    return sum("Relation [" in line or "LogicalRDD" in line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n"))
+
+
+def test_latest_reads_its_input_once_per_word(spark, rows, no_broadcast):
+    df = rows("k int, d timestamp_ntz, n bigint, a int, b date, p decimal(18,4), o bigint", (1, None, 1, 1, None, Decimal(1), 1))
+    for order, reads in ((["n"], 2), (["d", "n"], 2), (["d", "n", "p"], 3), (["d", "n", "p", "a"], 3), (["d", "n", "p", "a", "b", "o"], 4)):
+        found = latest_by(df, ["k"], order, p="p")
+        assert relations(found) == reads, order
+        assert "SortAggregate" not in plan(found) and "partial_max" in plan(found)
+    for name in ("topk_last_price", "subq_corr_top1"):
+        assert relations(QUERIES[name](spark, SMALL)) <= 8, name
+
+
+def test_rows_of_a_hot_key_are_dealt_by_their_words(spark, no_broadcast):
+    hot = skewed(spark).withColumn("n", F.col("id") % 7)
+    found = latest_by(hot, ["k"], ["n", "id"], id="id")
+    assert dict(collected(found.where("k = -1"), "k", "id")) == {-1: max(i for i in range(0, 60_000, 3) if i % 7 == 6)}
+    assert "Exchange hashpartitioning(_w0" in plan(found)
+    # where they all share one word, too, the join splits them
+    found = latest_by(skewed(spark).withColumn("n", F.col("id") % 1), ["k"], ["n"], pad="pad")
+    found.collect()
+    assert "skew=true" in plan(found)
+
+
 def test_lists_sort_by_day_and_keep_repeats(rows):
     day = dt.date
     df = rows("k int, d date", (1, day(2025, 1, 2)), (1, day(2024, 12, 31)), (1, day(2024, 12, 31)), (1, None), (2, None))
