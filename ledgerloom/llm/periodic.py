@@ -122,7 +122,12 @@ def _lag_scan(code: np.ndarray, at: np.ndarray, segment: np.ndarray, min_words:
 
 
 def runs_of(texts: pa.Array, min_words: int = MIN_WORDS, repeats: int = REPEATS) -> tuple:
-    """Number of words, runs and collapsed text of each text: the columns of RUNS."""
+    """Number of words, runs and collapsed text of each text: the columns of RUNS.
+
+    A run must hold a pattern and a stretch of up to twice its length, hence three repeats at least.
+    """
+    if repeats < 3:
+        raise ValueError("fewer than three repeats would slip through the octaves of the lag scan")
     words = split_words(texts, SPACED)
     joined, begin, end = joined_words(words)
     joined = joined.replace(b"\xff", b"\0")

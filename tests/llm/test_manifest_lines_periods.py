@@ -100,13 +100,17 @@ def test_manifest_of_many_groups(spark):
     assert built(docs) == plain_proofs([r.asDict() for r in docs.collect()])
 
 
-def test_copies_and_one_id_are_parted(spark):
+def test_copies_and_one_id_are_parted(spark, monkeypatch):
     """A third of all rows is one row: range partitions split it."""
     docs = spark.range(30_000, numPartitions=8).select(
         F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text"), F.lit("a").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
     leaves = manifest.stored(docs.select(F.lit("=a").alias("tree"), F.col("doc_id").alias("key"), F.unhex(manifest.leaf(*COLUMNS)).alias("digest")), "leaves")
+    written, stored = [], manifest.stored
+    monkeypatch.setattr(manifest, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     numbered = manifest._numbered(leaves, ["key", "digest"], "ordered")
-    parts = numbered.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = written[0].groupBy(F.shiftright("at", 33)).count().collect()
     assert max(r["count"] for r in parts) < 10_000 / 2
     assert numbered.agg(F.countDistinct("pos"), F.max("pos"), F.min("pos")).first()[:] == (30_000, 29_999, 0)
 
@@ -268,11 +272,16 @@ def test_runs_of_random_texts():
 def test_other_least_lengths():
     rng = random.Random(8)
     texts = [periodic_text(rng) for _ in range(20)]
-    for min_words, repeats in ((4, 2), (6, 3), (30, 5)):
+    for min_words, repeats in ((4, 3), (6, 3), (30, 5), (3, 4)):
         _, runs, _ = periodic.runs_of(pa.array(texts), min_words, repeats)
         assert [[tuple(r.values()) for r in own] for own in runs.to_pylist()] == [plain_runs(words_of(t), min_words, repeats) for t in texts]
 
 
+def test_two_repeats_are_refused():
+    with pytest.raises(ValueError, match="three repeats"):
+        periodic.runs_of(pa.array(["a a a a"]), repeats=2)
+
+
 def test_splitting_goes_on_until_nothing_is_rare():
     # c falls first; then a, which stood three times only with its part behind c, and so on.
     words = ["a", "b", "b", "a", "b", "c", *["b", "d"] * 13, "a", "e", "e", "e"]
