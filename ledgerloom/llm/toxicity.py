@@ -179,11 +179,16 @@ def fitted_weights(label: np.ndarray, doc: np.ndarray, sentence: np.ndarray, num
 
 def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
             rows: int = LEARN_ROWS, learn_from: Column | None = None) -> NoisyOr | None:
-    """The model of at most `rows` labelled documents; None without both kinds of label."""
+    """The model of at most `rows` labelled documents; None without both kinds of label.
+
+    Of an id that many rows share, the text of the least hash is learned from.
+    """
     learn_from = learning_row() if learn_from is None else learn_from
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(learn_from & F.col("label").isin(0, 1))
     sample = least_hashed(known, "doc_id", rows)
-    taught = stored(texts_of(docs, doc_id, text).join(F.broadcast(sample), "doc_id").select("label", "text"), "taught")  # at most `rows` ids
+    of_sample = texts_of(docs, doc_id, text).join(F.broadcast(sample), "doc_id")  # at most `rows` ids
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")
+    taught = stored(of_sample.groupBy("doc_id", "label").agg(least).select("label", "least.text"), "taught")
     kinds = dict(taught.groupBy("label").count().collect())
     if not (kinds.get(0) and kinds.get(1)):
         return None
