@@ -61,7 +61,7 @@ def _levels(nodes: list[bytes], width: int) -> list[list[bytes]]:
     return levels
 
 
-def _numbered(nodes: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+def numbered(nodes: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Rows with `pos`, their number from 0 within their `tree` in the given order, and `width`, the tree's number of rows."""
     sort = ["tree", *order, "_file", "_row"]
     dealt = nodes.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
@@ -146,12 +146,12 @@ class Manifest:
         leaves = stored(docs.select(
             F.coalesce(F.concat(F.lit("="), tree), F.lit("-")).alias("tree"), F.col(key).alias("key"),
             F.unhex(leaf(*columns)).alias("digest"), *(c.alias(n) for n, c in carry.items())), "leaves")
-        numbered = _numbered(leaves, ["key", "digest"], "ordered_leaves")
+        numbered = numbered(leaves, ["key", "digest"], "ordered_leaves")
         self.rest = ["key", *self.carried]
         self.rest_ddl = ", ".join(f"{c} {leaves.schema[c].dataType.simpleString()}" for c in self.rest)
         self.levels, subroots = self._built(_subtrees(numbered, self.rest))
         roots = stored(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest"), "subroots")
-        self.top_levels, self.roots = self._built(_subtrees(_numbered(roots, ["name"], "ordered_subroots"), ["name"]))
+        self.top_levels, self.roots = self._built(_subtrees(numbered(roots, ["name"], "ordered_subroots"), ["name"]))
 
     @staticmethod
     def _built(bottom: DataFrame) -> tuple[list[DataFrame], DataFrame]:

@@ -12,12 +12,13 @@ symbols alike, an unknown one included.
 The counts stay sharded tables: n-grams are counted per task before they are added up. The model is one row
 per n-gram: what is left of its count, and its total and freed count as a context. If these are at most
 BROADCAST_GRAMS rows, they are handed to all tasks. Beyond that, documents are dealt into blocks of about
-BLOCK_CHARS, each block asks every shard of the model for its own n-grams, and is scored with the answers.
+BLOCK_CHARS, each block asks every shard of the model for its own n-grams, and is scored with the answers; a
+very long text is a block of its own.
 
 Perplexity is per code point. A document is kept if it is at most the threshold of its language: the
-QUANTILE of the trusted documents of that language that were held out. A language without such documents
+QUANTILE (exact, equal values included) of the trusted documents of that language that were held out. A language without such documents
 takes the quantile over all of them; without any, all documents with text are kept. Null and empty texts
-have no perplexity and are not kept. Null languages form a group of their own. Repeated rows are scored
+have no perplexity and are not kept; an empty table gives an empty result. Null languages form a group of their own. Repeated rows are scored
 alike.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.frames import learning_row, steps, stored, with_computed
+from ledgerloom.llm.manifest import numbered
 from ledgerloom.llm.words import SPACED, Words, code_points, mixed, split_words
 
 ORDER, WORD_ORDER, QUANTILE = 4, 3, 0.995
@@ -365,6 +367,16 @@ def _scored_by_blocks(docs: DataFrame, model: DataFrame, word_total: float, spel
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"{shown}, {SCORED}")
 
 
+def _quantiles(values: DataFrame, quantile: float) -> DataFrame:
+    """tree and own: the least perplexity of each tree that at least the share `quantile` of its values does not exceed.
+
+    Exact: the values are ranked by a range sort, and the one of the rank is taken.
+    """
+    ranked = numbered(stored(values, "calibrating"), ["perplexity"], "ranked")
+    rank = F.greatest(F.ceil(F.lit(quantile) * F.col("width")) - 1, F.lit(0))
+    return ranked.filter(F.col("pos") == rank).select("tree", F.col("perplexity").alias("own"))
+
+
 def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
            quantile: float = QUANTILE, learn_from: Column | None = None, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold and kept for every row of docs."""
@@ -386,10 +398,10 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
         found = _scored_by_blocks(plain, model, word_total, spelled)
     found = stored(found, "perplexity")
     calibrating = found.join(trusted.filter(~learn_from), "doc_id", "left_semi").filter("perplexity IS NOT NULL")
-    accuracy = 10_000
-    limits = calibrating.groupBy(F.struct("lang").alias("k")).agg(F.percentile_approx("perplexity", quantile, accuracy).alias("own"))
-    general = calibrating.agg(F.percentile_approx("perplexity", quantile, accuracy)).first()[0]
-    threshold = F.coalesce("own", F.lit(general).cast("double"))
-    joined = found.withColumn("k", F.struct("lang")).join(limits, "k", "left").withColumn("threshold", threshold)
+    of_lang = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("-"))
+    limits = _quantiles(calibrating.select(of_lang.alias("tree"), "perplexity"), quantile).withColumnRenamed("tree", "k")
+    general = _quantiles(calibrating.select(F.lit("").alias("tree"), "perplexity"), quantile).first()
+    threshold = F.coalesce("own", F.lit(general["own"] if general else None).cast("double"))
+    joined = found.withColumn("k", of_lang).join(limits, "k", "left").withColumn("threshold", threshold)
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return joined.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", kept.alias("kept"))
