@@ -196,6 +196,33 @@ def test_blocks_of_windows_give_the_same_hits(spark, odd, no_docs):
     assert decontamination.scan(no_docs, benchmark).count() == 0
 
 
+def test_a_window_of_all_items_is_one_row_of_a_block(rows, monkeypatch):
+    """Blocks hold different windows without their items, so none grows with how many items share a window."""
+    shared = " ".join(f"k{i}" for i in range(13))
+    benchmark = rows("item_id long, text string", *[(i, shared if i % 2 else f"{shared} own{i}") for i in range(3000)])
+    sizes, block = [], decontamination.WindowSet
+    monkeypatch.setattr(decontamination, "WindowSet", lambda rows: sizes.append(len(rows)) or block(rows))
+    docs = rows("doc_id long, text string", (1, f"so {shared} so"), (2, f"{shared} own4 end"), (3, "nothing"))
+    found = {r["doc_id"]: r["items"] for r in decontamination.scan(docs, benchmark, block_windows=200, keep=("doc_id",)).collect()}
+    assert found == {1: list(range(3000)), 2: list(range(3000)), 3: []}
+    assert sum(sizes) == 1501 and max(sizes) <= 300 and len(sizes) == 8
+
+
+def test_a_hot_sampled_id_brings_one_row_to_the_driver(spark, monkeypatch):
+    """One labelled id stands in half of all rows: each id is learned from once."""
+    docs = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(0).alias("doc_id"),
+                                    F.concat(F.when(F.col("id") % 4 == 0, "vile nasty ").otherwise("some good "), F.lit("words of text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(0, 4000, 2).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("quality"), (F.col("id") % 4 == 0).cast("int").alias("toxic"))
+    n_learned = labels.filter(quality.learning_row()).count()
+    seen = []
+    monkeypatch.setattr(quality, "grown_trees", lambda x, y, *more: seen.append(len(y)))
+    quality.judged(docs, labels).count()
+    monkeypatch.setattr(toxicity, "_bags", lambda taught, features: (seen.append(taught.count()), (_ for _ in ()).throw(RuntimeError("enough")))[0])
+    with pytest.raises(RuntimeError, match="enough"):
+        toxicity.learned(docs, labels)
+    assert seen == [n_learned, n_learned]
+
+
 def test_spans_and_documents_are_removed(rows):
     item = " ".join(f"k{i}" for i in range(20))
     benchmark = rows("item_id long, text string", (5, item), (6, "Short, Item"), (7, None), (8, "!?"), (None, "without id"), (6, "short item"))

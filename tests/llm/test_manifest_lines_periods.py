@@ -108,7 +108,7 @@ def test_copies_and_one_id_are_parted(spark, monkeypatch):
     written, stored = [], manifest.stored
     monkeypatch.setattr(manifest, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    numbered = manifest._numbered(leaves, ["key", "digest"], "ordered")
+    numbered = manifest.numbered(leaves, ["key", "digest"], "ordered")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     parts = written[0].groupBy(F.shiftright("at", 33)).count().collect()
     assert max(r["count"] for r in parts) < 10_000 / 2
