@@ -53,16 +53,81 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+_WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _digits(kind: T.DataType) -> tuple[int, int] | None:
+    """Digits before and behind the point that a number type holds exactly; None for other types."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (6, 0) if isinstance(kind, T.FloatType) else (15, 0)
+    return (_WHOLE_DIGITS[kind.simpleString()], 0) if kind.simpleString() in _WHOLE_DIGITS else None
+
+
+def type_change(stored: T.DataType, incoming: T.DataType) -> str:
+    """How an incoming type stands to the stored one: same, narrower (every value fits), wider (some may not), or other."""
+    if stored == incoming:
+        return "same"
+    have, come = _digits(stored), _digits(incoming)
+    if have and come:
+        whole_only = isinstance(incoming, T.IntegralType) or isinstance(incoming, T.DecimalType)
+        return "narrower" if whole_only and come[0] <= have[0] and come[1] <= have[1] else "wider"
+    times = (T.TimestampType, T.TimestampNTZType)
+    if isinstance(stored, T.DateType) and isinstance(incoming, times):
+        return "wider"
+    if isinstance(stored, times) and isinstance(incoming, T.DateType):
+        return "narrower"
+    return "other"
+
+
+def _kept(column: Column, incoming: T.DataType, stored: T.DataType) -> Column:
+    """Whether a value is the same after it was cast to a stored type that may not hold it."""
+    cast = column.try_cast(stored)
+    return column.isNull() | F.coalesce(cast.cast(incoming) == column, F.lit(False))
+
+
 def aligned(df: DataFrame, target: T.StructType, names: Sequence[str] | None = None) -> DataFrame:
-    """Rename by position to `names`, then keep the target's columns in its order and types."""
+    """Rename by position to `names`, then keep the target's columns in its order and types.
+
+    A number or a time that its target type would round, cut or not hold is an error. Columns that the target
+    does not have are left out (`schema_drift` names them).
+    """
     if names is not None:
         if len(names) != len(df.columns):
             raise ValueError(f"{len(df.columns)} columns do not fit {len(names)} names")
         df = df.toDF(*names)
-    missing = [f.name for f in target if f.name not in df.columns]
+    incoming = {f.name: f.dataType for f in df.schema}
+    missing = [f.name for f in target if f.name not in incoming]
     if missing:
         raise ValueError(f"columns missing for the target: {missing}")
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target])
+
+    def fitted(field: T.StructField) -> Column:
+        column, cast = F.col(f"`{field.name}`"), F.col(f"`{field.name}`").cast(field.dataType)
+        if type_change(field.dataType, incoming[field.name]) != "wider":
+            return cast.alias(field.name)
+        message = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), column.cast("string"))
+        lost = F.raise_error(message).cast(field.dataType)
+        return F.when(_kept(column, incoming[field.name], field.dataType), cast).otherwise(lost).alias(field.name)
+
+    return df.select(*[fitted(f) for f in target])
+
+
+def schema_drift(df: DataFrame, stored: T.StructType, declared: T.StructType | None = None) -> DataFrame:
+    """One row per column of incoming rows, of the stored table and of its declaration: the types, what has changed
+    (added, lost, or see type_change), and how many incoming values the stored type would change."""
+    declared = stored if declared is None else declared
+    types = [{f.name: f.dataType for f in schema} for schema in (declared, stored, df.schema)]
+    columns = list(dict.fromkeys([*types[1], *types[2], *types[0]]))
+    measures, shown = {}, {}
+    for name in columns:
+        of_declared, have, come = (t.get(name) for t in types)
+        change = "lost" if come is None else "added" if have is None else type_change(have, come)
+        texts = {"declared_type": of_declared, "stored_type": have, "incoming_type": come}
+        shown[name] = {k: F.lit(t.simpleString() if t is not None else None).cast("string") for k, t in texts.items()} | {"change": F.lit(change)}
+        differs = ~_kept(F.col(f"`{name}`"), come, have) if change == "wider" else F.lit(False)
+        measures[name] = {"changed_values": F.count_if(differs)}
+    return _per_column(df, measures, shown)
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:
@@ -166,9 +231,19 @@ def references(df: DataFrame, text: str, patterns: Mapping[str, Sequence[str]])
 KIND_ORDER = ["TABLE", "VIEW", "FUNCTION", "PROCEDURE", "PACKAGE"]
 
 
+#: What sinks.tables adds to a name for the tables behind it.
+VERSION_SUFFIX = re.compile(r"__v\d{8}t\d{6}_[0-9a-f]{8}$")
+
+
 def catalog_objects(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Name and kind of the tables, views and functions that the session's catalog has in a database."""
-    tables = [(t.name, "VIEW" if "VIEW" in t.tableType.upper() or t.isTemporary else "TABLE") for t in spark.catalog.listTables(database)]
+    """Name and kind of the tables, views and functions that the session's catalog has in a database.
+
+    A target of sinks.tables is a table; the versions behind it are not listed.
+    """
+    listed = spark.catalog.listTables(database)
+    targets = {VERSION_SUFFIX.sub("", t.name) for t in listed if VERSION_SUFFIX.search(t.name)}
+    tables = [(t.name, "VIEW" if ("VIEW" in t.tableType.upper() or t.isTemporary) and t.name not in targets else "TABLE")
+              for t in listed if not VERSION_SUFFIX.search(t.name)]
     functions = [(f.name, "FUNCTION") for f in spark.catalog.listFunctions(database)]
     return spark.createDataFrame(tables + functions, "name string, kind string").distinct()
 

@@ -36,13 +36,13 @@ Job = tuple[str, Callable[[], DataFrame | None]]
 
 def refresh(
     spark: SparkSession, jobs: Iterable[Job], folder: str, run_log: str | None = None, parallel: int = 4,
-    mode: str = "refresh", retain: int = RETAINED,
+    mode: str = "refresh", retain: int = RETAINED, batch: str | None = None,
 ) -> DataFrame:
     """Refresh one table per job; a failing job is reported and does not stop the others.
 
     Returns one row per job and adds them to the run log table when one is named. Jobs are
     independent, so a few of them are submitted at a time and share the cluster. With mode
-    "append" rows are added to the tables instead. Jobs that lead to the same table are errors,
+    "append" rows are added to the tables instead, once per name of a `batch`. Jobs that lead to the same table are errors,
     all of them: none may overwrite what another one loads. An error's text is kept whole.
     """
     jobs = list(jobs)
@@ -57,8 +57,9 @@ def refresh(
             df = build()
             if df is None:
                 return name, False, 0, "nothing to run", time.monotonic() - started
-            done = load(df, name, folder, mode, retain)
-            return name, True, done.rows, "created" if done.created else "refreshed" if mode == "refresh" else "appended", time.monotonic() - started
+            done = load(df, name, folder, mode, retain, batch)
+            did = "created" if done.created else "refreshed" if mode == "refresh" else "repeated" if done.repeated else "appended"
+            return name, True, done.rows, did, time.monotonic() - started
         except Exception as error:  # noqa: BLE001 - reported per dataset
             return name, False, 0, f"{type(error).__name__}: {error}", time.monotonic() - started
 

@@ -3,6 +3,7 @@
 from uuid import uuid4
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import nan_as_null, to_integer, to_number
 from ledgerloom.functions.text import qualified_names, scrubbed, selected_name, target_name
@@ -20,6 +21,7 @@ from ledgerloom.operators.quality import (
     missing_objects,
     references,
     run_totals,
+    schema_drift,
     validated,
     validation_report,
 )
@@ -27,13 +29,17 @@ from ledgerloom.plans.registry import refresh
 from ledgerloom.queries.base import portable_sql, query, table
 from ledgerloom.queries.joining import amount
 from ledgerloom.session import work_folder
-from ledgerloom.sinks.tables import append, full_refresh, table_info
+from ledgerloom.sinks.tables import append, content_check, full_refresh, load, prepared, roll_back, table_info, version_rows
 from ledgerloom.sources.scripts import run_script
 
 _SCAN = """SELECT l_returnflag, l_linestatus, sum(CAST(l_quantity AS DECIMAL(15,2))) AS quantity, count(*) AS n
 FROM {lines} GROUP BY l_returnflag, l_linestatus"""
 
 
+def _sql_text(value):
+    return f"'{value}'" if value else "CAST(NULL AS VARCHAR)"
+
+
 def target(spark, name):
     """A table name of its own for each run, and the folder its versions go to."""
     return f"{name}_{uuid4().hex[:12]}", work_folder(spark)
@@ -84,6 +90,35 @@ def sink_append(spark, sf_dir):
     return spark.table(name)
 
 
+@query("""SELECT c_custkey, c_name, 'c' AS kind FROM customer UNION ALL SELECT s_suppkey, s_name, 's' FROM supplier""")
+def sink_append_once(spark, sf_dir):
+    """Two batches, each sent twice; and one whose job dies between writing and entering it, sent again."""
+    name, folder = target(spark, "partners")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit("c").alias("kind"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit("s").alias("kind"))
+    for rows, batch in ((customers, "customers"), (customers, "customers")):
+        load(rows, name, folder, "append", batch=batch)
+    prepared(suppliers, name, "suppliers")
+    for _ in range(2):
+        append(suppliers, name, "suppliers")
+    return spark.table(name)
+
+
+@query("""SELECT c_custkey, 'now' AS version FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT c_custkey, 'before' FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT c_custkey, 'first' FROM customer""")
+def sink_roll_back(spark, sf_dir):
+    """Three versions, the third gone back from; the first is still there to be read."""
+    name, folder = target(spark, "customers")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    for condition in ("true", "c_acctbal < 0", "c_acctbal IS NULL"):
+        full_refresh(rows.where(condition), name, folder)
+    roll_back(spark, name)
+    full_refresh(rows.where("c_acctbal >= 0"), name, folder, retain=4)
+    shown = {"now": spark.table(name), "before": version_rows(spark, name, 1), "first": version_rows(spark, name, 3)}
+    parts = [df.select("c_custkey", F.lit(version).alias("version")) for version, df in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal IS NULL")
 def sink_empty_refresh(spark, sf_dir):
     """A refresh that finds no rows leaves an empty table with the same columns."""
@@ -103,13 +138,32 @@ def sink_table_info(spark, sf_dir):
     return table_info(spark, name)
 
 
-@query("""SELECT (SELECT count(*) FROM customer) AS extracted, (SELECT count(*) FROM customer) AS loaded, true AS consistent""")
+@query("""SELECT (SELECT count(*) FROM customer) AS extracted, (SELECT count(*) FROM customer) AS loaded, true AS consistent, true AS content_consistent""")
 def dq_refresh_counts(spark, sf_dir):
-    """Rows counted while they were written against rows read back."""
+    """Rows and content as they were written against what is read back."""
     name, folder = target(spark, "customers")
-    load = full_refresh(table(spark, sf_dir, "customer"), name, folder)
-    counted = spark.table(name).agg(F.count(F.lit(1)).alias("loaded"))
-    return counted.select(F.lit(load.rows).cast("bigint").alias("extracted"), "loaded", (F.col("loaded") == load.rows).alias("consistent"))
+    full_refresh(table(spark, sf_dir, "customer"), name, folder)
+    return content_check(spark, name).select(
+        F.col("rows_written").alias("extracted"), F.col("rows_read").alias("loaded"), F.col("count_consistent").alias("consistent"), "content_consistent")
+
+
+# Column, stored type, incoming type, change, and a condition for values that the stored type changes.
+_DRIFT = [
+    ("l_orderkey", "bigint", "bigint", "same", "false"), ("l_linenumber", "bigint", "int", "narrower", "false"),
+    ("l_quantity", "decimal(10,0)", "decimal(15,2)", "wider", "CAST(l_quantity AS DECIMAL(15,2)) <> round(CAST(l_quantity AS DECIMAL(15,2)))"),
+    ("l_extendedprice", "decimal(15,1)", "decimal(15,2)", "wider", "CAST(l_extendedprice AS DECIMAL(15,2)) <> round(CAST(l_extendedprice AS DECIMAL(15,2)), 1)"),
+    ("l_partkey", "int", "bigint", "wider", "false"), ("l_returnflag", "string", "string", "same", "false"),
+    ("l_suppkey", None, "bigint", "added", "false"), ("l_gone", "string", None, "lost", "false")]
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, {_sql_text(stored)} AS declared_type, {_sql_text(stored)} AS stored_type, {_sql_text(come)} AS incoming_type,
+'{change}' AS change, count(*) FILTER ({changes}) AS changed_values FROM lineitem""" for c, stored, come, change, changes in _DRIFT))
+def dq_schema_drift(spark, sf_dir):
+    """Lines as they come against the structure they are stored in."""
+    lines = table(spark, sf_dir, "lineitem").select(*[F.col(c).cast(come).alias(c) for c, _, come, _, _ in _DRIFT if come])
+    stored = T.StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind, *_ in _DRIFT if kind))
+    return schema_drift(lines, stored)
 
 
 _RUN = "region nation customer supplier part orders lineitem events".split()

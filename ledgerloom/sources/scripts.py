@@ -7,6 +7,7 @@ column expressions on it. A script's own query is plain Spark SQL over registere
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +41,9 @@ def scripts(
 
 
 def _file_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder. Spark's file sources skip files of no bytes, which a check must report."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in system.listStatus(path) if status.isFile()]
+    """Names in a folder, as Spark lists it: rows skip files of no bytes, which a check must report."""
+    listed = spark.read.format("binaryFile").load(folder).inputFiles()
+    return [unquote(path.rpartition("/")[2]) for path in listed]
 
 
 def checked_scripts(found: DataFrame) -> DataFrame:
