@@ -213,7 +213,7 @@ def judged(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     """doc_id, STATISTICS, base_failed, score and kept for every row of docs.
 
     The trees learn from `rows` labelled documents, those of the least hash of their id; of an id that many rows share,
-    from the one with the least statistics.
+    from the least of each statistic.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = stored(with_computed(plain, STATISTICS, statistics, keep=("doc_id",)), "statistics")
@@ -221,8 +221,8 @@ def judged(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: s
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(learn_from & F.col("label").isin(0, 1))
     sample = least_hashed(known, "doc_id", rows)
     # One row per sampled id and label before anything comes to the driver: at most `rows` rows.
-    once = found.join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*RATIOS)).alias("least"))
-    learned = once.select("label", "least.*").toPandas()
+    once = found.join(sample, "doc_id").groupBy("doc_id", "label").agg(*[F.min(c).alias(c) for c in RATIOS])
+    learned = once.select("label", *RATIOS).toPandas()
     trees = grown_trees(learned[list(RATIOS)].to_numpy(), learned["label"].to_numpy())
     if trees is None:
         scored = found.withColumn("score", F.lit(1.0))
