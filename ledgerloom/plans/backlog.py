@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_label, day_text, joined_text, open_balance, to_other_currency
-from ledgerloom.operators.joins import has_match, latest_by, lookup, matching, totals_by
+from ledgerloom.operators.joins import has_match, latest_by, lookup, totals_by
 from ledgerloom.operators.lists import counted_values, list_text
+from ledgerloom.operators.stages import Keys, at_once, rows_of, staged, staged_keys
 from ledgerloom.plans import codes
 from ledgerloom.sources.erp import Tables
 
@@ -28,12 +29,14 @@ _LINE = {**_ORDER, "codi_psv": "codi_psv"}
 
 # The sums below are built for the given orders only; their notes and losses may be of any day.
 _OF_NOTE = {"empr_ped": "codi_emp", "pedi_ped": "pedi_ped", "seri_ped": "seri_ped"}
+_BY_ORDER = {k: k for k in _ORDER}
 
 
-def delivered(t: Tables, orders: DataFrame) -> DataFrame:
+def delivered(t: Tables, orders: Keys) -> DataFrame:
     """Returned and delivered quantities per order line, from notes that are not cancelled."""
-    notes = t["nota"].where("situ_not <> '9'")
-    lines = matching(t["inota"].where("pedi_ped IS NOT NULL AND seri_ped IS NOT NULL AND empr_ped IS NOT NULL"), orders, _OF_NOTE)
+    shown = ["npre_not", *_OF_NOTE, "codi_psv", "qdev_ino", "qent_ino"]
+    lines = staged(rows_of(t["inota"].select(*shown), orders, _OF_NOTE), "delivered_lines")
+    notes = rows_of(t["nota"].where("situ_not <> '9'"), staged_keys(lines, ["npre_not"], "delivered_keys"), {"npre_not": "npre_not"})
     zero = F.lit(0)
     return totals_by(
         lookup(lines, notes, {"npre_not": "npre_not"}, {}, "inner"),
@@ -42,33 +45,35 @@ def delivered(t: Tables, orders: DataFrame) -> DataFrame:
     )
 
 
-def sent_by_order(t: Tables, orders: DataFrame) -> DataFrame:
+def sent_by_order(t: Tables, orders: Keys) -> DataFrame:
     """Quantity the order's own delivery flow reports per order line.
 
     The source computes it in a table function whose body is not part of the reports; its result
     is taken as an input table and summed to one row per order line.
     """
-    return totals_by(matching(t["qtde_entr_ped_ven"], orders, _ORDER), list(_LINE), sent=F.sum("qent"))
+    return totals_by(rows_of(t["qtde_entr_ped_ven"], orders, _BY_ORDER), list(_LINE), sent=F.sum("qent"))
 
 
-def lost_sales(t: Tables, orders: DataFrame) -> DataFrame:
+def lost_sales(t: Tables, orders: Keys) -> DataFrame:
     """Lost quantity per order line; reasons that are unknown or no real loss do not count."""
     real = t["ocorrencias"].where(~F.col("codi_prv").isin(codes.NOT_LOST))
-    return totals_by(matching(real, orders, _ORDER), list(_LINE), lost=F.sum("qtde_oco"))
+    return totals_by(rows_of(real, orders, _BY_ORDER), list(_LINE), lost=F.sum("qtde_oco"))
 
 
-def last_purchase_price(t: Tables) -> DataFrame:
-    """Price of the latest purchase line per product.
+def last_purchase_price(t: Tables, products: Keys | None = None) -> DataFrame:
+    """Price of the latest purchase line per product, of all days; of the given products only, if any are given.
 
     Latest by receipt day, then note number, a missing one first. The source leaves lines of
     one note in any order; here the higher price wins.
     """
     links = {"ctrl_nfe": "ctrl_nfe", "codi_tra": "codi_tra", "seri_nfe": "seri_nfe", "nume_nfe": "nume_nfe",
              "codi_emp": "codi_emp"}
-    priced = lookup(t["infentra"], t["nfentra"], links, {"day": "drec_nfe", "op": "codi_top", "fiscal": "ccfo_cfo"}, "inner")
+    lines = t["infentra"] if products is None else rows_of(t["infentra"], products, {"codi_psv": "codi_psv"})
+    priced = lookup(lines.select(*links, "codi_psv", "vliq_inf"), t["nfentra"], links, {"day": "drec_nfe", "op": "codi_top", "fiscal": "ccfo_cfo"}, "inner")
     bought = lookup(priced, t["funcaotoper"].where(F.col("codi_pto") == codes.PURCHASING), {"op": "codi_top"}, {}, "inner")
     kept = lookup(bought, t["cfo"].where("comp_cfo <> '2'"), {"fiscal": "ccfo_cfo"}, {}, "inner")
-    return latest_by(kept, ["codi_psv"], ["day", "nume_nfe", "vliq_inf"], price="vliq_inf")
+    order = ["day", "nume_nfe", "vliq_inf"]
+    return latest_by(staged(kept.select("codi_psv", *order), "purchases"), ["codi_psv"], order, price="vliq_inf")
 
 
 def negotiations(t: Tables) -> DataFrame:
@@ -97,14 +102,12 @@ def products(t: Tables) -> DataFrame:
     return lookup(active, t["transac"], {"maker": "codi_tra"}, {"cod_fabricante": "codi_tra", "fabricante": "raza_tra"})
 
 
-def order_lines(t: Tables, span: tuple[str, str]) -> DataFrame:
+def order_lines(t: Tables, shown: DataFrame, keys: Keys, items: DataFrame) -> DataFrame:
     """Lines of orders that are not cancelled, with the sums kept per order or order line."""
-    shown = t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(*span))
-    keys = shown.select(*_ORDER)
     control = t["topctrl"].where(F.col("codi_ctr") == codes.DELIVERY_CONTROL)
     orders = has_match(shown, control, {"codi_top": "codi_top"}, "controlled")
 
-    terms = counted_values(matching(t["prefinan"], keys, _ORDER), list(_ORDER), "praz_pfp", "terms")
+    terms = counted_values(rows_of(t["prefinan"], keys, _BY_ORDER), list(_ORDER), "praz_pfp", "terms")
     orders = lookup(orders, terms, _ORDER, {"terms": "terms"})
     orders = orders.withColumn("venc_pfp", list_text("terms", lambda d: day_text(F.date_add("vcto_ped", d))))
 
@@ -117,7 +120,7 @@ def order_lines(t: Tables, span: tuple[str, str]) -> DataFrame:
                      "moeda": "moed_ind", "cotacao_dolar": "rate", "cotacao_dolar_negociacao": "dollar_rate"})
 
     header = [c for c in orders.columns if c not in _ORDER]
-    lines = lookup(t["ipedido"], orders, _ORDER, {c: c for c in header}, "inner")
+    lines = lookup(items, orders, _ORDER, {c: c for c in header}, "inner")
     lines = lines.withColumn("qper_ipe", F.coalesce("qper_ipe", F.lit(0)))
     lines = lookup(lines, sent_by_order(t, keys), _LINE, {"sent": "sent"})
     lines = lookup(lines, lost_sales(t, keys), _LINE, {"lost": "lost"})
@@ -126,12 +129,21 @@ def order_lines(t: Tables, span: tuple[str, str]) -> DataFrame:
 
 
 def backlog(t: Tables, first_day: str = codes.FIRST_DAY, last_day: str = codes.LAST_DAY) -> DataFrame:
-    """The order backlog dataset."""
-    lines = order_lines(t, (first_day, last_day))
+    """The order backlog dataset.
+
+    Orders of the span and their lines are stage tables; everything that is summed for them is read by their keys.
+    """
+    orders = t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(first_day, last_day))
+    shown = staged(orders, "backlog_orders")
+    keys = staged_keys(shown, list(_ORDER), "backlog_order_keys")
+    items = staged(rows_of(t["ipedido"], keys, _BY_ORDER), "backlog_items")
+    lines, prices = at_once(
+        lambda: order_lines(t, shown, keys, items),
+        lambda: last_purchase_price(t, staged_keys(items, ["codi_psv"], "backlog_products")))
     lines = lookup(lines, lookup(t["cademp"], t["municipio"], {"codi_mun": "codi_mun"}, {"desc_mun": "desc_mun"}, "inner"),
                    {"codi_emp": "codi_emp"}, {"desc_mun": "desc_mun"}, "inner")
     lines = lookup(lines, t["transac"], {"codi_tra": "codi_tra"}, {"cgc_tra": "cgc_tra", "raza_tra": "raza_tra"}, "inner")
-    priced = lookup(products(t), last_purchase_price(t), {"codi_psv": "codi_psv"}, {"ult_compra": "price"})
+    priced = lookup(products(t), prices, {"codi_psv": "codi_psv"}, {"ult_compra": "price"})
     lines = lookup(lines, priced, {"codi_psv": "codi_psv"},
                    {"desc_psv": "desc_psv", "codi_gpr": "codi_gpr", "desc_gpr": "desc_gpr", "codi_sbg": "known_sbg",
                     "desc_sbg": "desc_sbg", "cod_fabricante": "cod_fabricante", "fabricante": "fabricante",
