@@ -10,7 +10,7 @@ Escaping doubles every backslash and puts one after the first character of a con
 body never holds a control string of its own and `unescaped` gives back what went in.
 
 A null text, role or part counts as empty, a part of unknown kind as text. Turns are ordered by turn
-(null first), role and body; repeated rows stay turns of their own. Messages without conversation id
+(null first), role and text as it came in; repeated rows stay turns of their own. Messages without conversation id
 form one conversation. An empty table gives no conversations. A conversation is one row of the
 result, so its messages meet in one task however many they are; all else is done before.
 """
@@ -94,7 +94,7 @@ def formatted_chats(messages: DataFrame, visitor: PartVisitor | None = None, los
     )
     tail = BODY_END + TURN_END
     length = F.char_length("head") + F.char_length("body") + len(tail)
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", unescaped(F.col("body")), "body")
     placed = rows.select(
         "conv_id", F.row_number().over(order).alias("at"),
         F.concat("head", "body", F.lit(tail)).alias("shown"),

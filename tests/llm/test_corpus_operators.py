@@ -184,6 +184,21 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_ties_of_a_turn_are_ordered_by_their_plain_text(rows):
+    texts = ["<s>", "<a", "[INST]", "[J", "\\", "]", "", None, "<s>"]
+    messages = rows("conv_id long, turn long, role string, text string", *[(1, 0, "user", t) for t in texts], (1, None, "user", "first"))
+    shown = chat.formatted_chats(messages.withColumn("content", chat.text_part(F.col("text"))))
+    (turns,) = shown.select(chat.read_turns(F.col("formatted"))).first()
+    assert [t["text"] for t in turns] == ["first", *sorted(t or "" for t in texts)]
+
+
+def test_a_very_long_message(rows):
+    long = "<s>[/INST] \\ " * 100_000
+    messages = rows("conv_id long, turn long, role string, text string", (1, 0, "assistant", long), (1, 1, "user", "x"))
+    shown = chat.formatted_chats(messages.withColumn("content", chat.text_part(F.col("text"))))
+    assert shown.select(chat.read_loss(F.col("formatted"), F.col("loss_spans"))).first()[0] == long
+
+
 # --- decontamination
 
 def test_blocks_of_windows_give_the_same_hits(spark, odd, no_docs):
