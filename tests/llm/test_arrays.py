@@ -75,8 +75,17 @@ def test_ids_with_control_strings_and_a_table_that_starts_anew(encoder, monkeypa
 def test_borders_come_back(lengths):
     values = np.cumsum(lengths).astype(np.int64)
     coded = idstore.EliasFano.of(values)
-    assert coded.all().tolist() == values.tolist()
-    assert [coded.get(i) for i in range(len(values))] == values.tolist()
+    assert coded.select(np.arange(len(values))).tolist() == values.tolist()
+    assert [int(coded.select(np.array([i]))[0]) for i in range(len(values))] == values.tolist()
+    some = np.flatnonzero(values % 3 == 0)
+    assert coded.select(some).tolist() == values[some].tolist()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=60))
+def test_any_ascending_numbers_come_back(values):
+    values = np.array(sorted(values), np.uint64)
+    assert idstore.EliasFano.of(values).select(np.arange(len(values))).tolist() == values.tolist()
 
 
 def test_borders_take_little_space():

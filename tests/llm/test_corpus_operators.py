@@ -85,11 +85,32 @@ def test_id_store_round_trip(spark, odd, no_docs, monkeypatch):
         expected.append((doc, start, len(own), crc(own)))
         start += len(own)
     assert found == expected
+    wanted = spark.createDataFrame([(3,), (4,), (4,), (99,), (None,)], "doc_id long")
+    assert [tuple(r) for r in idstore.read_documents(spark, path, wanted).orderBy("start").collect()] == [e for e in expected if e[0] in (3, 4)]
     path = shared_path(spark, "ids")
     idstore.write_ids(no_docs, path, vocabulary(), end_id=2)
     assert idstore.read_ids(spark, path).count() == 0
 
 
+def test_ids_of_any_span_and_a_hot_one(spark, rows, monkeypatch):
+    """A third of the rows without id are dealt over the ranges; ids may be as far apart as 64 bits allow."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = spark.range(6000, numPartitions=4).select(
+        F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 2 == 0, -2**63 + F.col("id")).otherwise(2**63 - 1 - F.col("id"))).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    path = shared_path(spark, "ids")
+    idstore.write_ids(docs, path, vocabulary(), end_id=2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["n"] for r in idstore.read_blocks(spark, path).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 1500
+    found = idstore.read_ids(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted((r["doc_id"] for r in docs.collect()), key=lambda d: (d is not None, d or 0))
+    starts = [0]
+    for r in found:
+        assert r["start"] == starts[-1]
+        starts.append(r["start"] + r["n_tokens"])
+
+
 # --- packing
 
 def test_pieces_are_whole_and_packed_without_gaps(odd, no_docs):
