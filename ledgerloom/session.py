@@ -16,6 +16,13 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Bloom filters of join keys, under the exchange of tables of 10 GB or more: up to some ten million keys, 16 MB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "10000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "10000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 27),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 27),
 }
 
 # Settings that only a new session can take. The reports build a thousand expressions, and
