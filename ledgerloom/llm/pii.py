@@ -1,20 +1,25 @@
-r"""Personal data: base patterns, and a character tagger that adds what they leave out.
+r"""Personal data: base patterns, and a character tagger that adds what they cannot find.
 
 Base, leftmost and non-overlapping per kind: email addresses, IPv4 addresses (parts up to 255), card
 numbers (12 to 19 digits that pass Luhn) and phone numbers (9 to 15 digits). A match that fails its
 check is dropped and not tried again, which loses, for instance, two card numbers side by side.
 
-The tagger (`tagger.Tagger`) learns the shapes of such spans: from windows of at most LEARN_DOCS
-documents, labelled by the patterns without their checks, and from windows into which one or two of
-these spans are spliced. Windows of WINDOW characters overlap by half; a window is decoded if it
-holds an at sign or LEAST_DIGITS digits, as every valid span does. Each character takes its label
-from the window in which it is most central, and spans are read from the labels of the whole text.
-What the tagger finds is added if it has the shape and passes the check of its kind, stands alone
+The tagger (`tagger.Tagger`) learns from windows of at most LEARN_DOCS documents (LEARN_WINDOWS of those with a
+labelled span, as many of those without): spans of the patterns, unchecked, as they stand there, and SPLICED and MADE windows
+into which such spans, alone or side by side, and made ones of other forms are put. Other forms are phone numbers
+without a plus (bracketed, or parted by hyphens, dots or blanks), addresses that write (at) or [at], and secrets
+(keys and tokens of 20 to 64 letters and digits), bare or behind a word that names them. Windows of documents that
+hold such a form already teach nothing, as nobody has labelled it.
+
+Windows of WINDOW characters overlap by half; a window is decoded if it holds an at sign, a bracket, or
+LEAST_DIGITS digits, as every span does. Each character takes its label from the window in which it is most central,
+and spans are read from the labels of the whole text. A tagged secret or number grows to the word it lies in. What
+the tagger finds is added if it has the shape and passes the check of its kind or of its other forms, stands alone
 (no letter or digit of it is left outside) and overlaps no base span.
 
-Null and empty texts have no spans. Without a labelled span in the sample only the base remains.
-Spans are in code points, ends exclusive. Repeated rows have equal results. A pattern's work grows
-with the length of the text and not faster.
+Null and empty texts have no spans; an empty table has none. Without a labelled span in the sample only the base
+remains. Spans are in code points, ends exclusive. Repeated rows have equal results; ties of begin come by kind. A
+pattern's work grows with the length of the text and not faster, a very long text is cut into windows like any other.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.frames import least_hashed, set_aside, steps, texts_of, with_computed
 from ledgerloom.llm.tagger import KINDS, PAD, Tagger, begin_label, classes
 
+BASE_KINDS = KINDS[:4]
+
 WINDOW, STRIDE, LEAST_DIGITS = 80, 40, 4
-LEARN_DOCS, LEARN_WINDOWS, SPLICED = 4000, 600, 500
+LEARN_DOCS, LEARN_WINDOWS, SPLICED, MADE = 4000, 600, 500, 1800
 DECODE_AT_ONCE = 512
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -45,7 +52,13 @@ _SHAPES = {
     "phone": _PHONE,
 }
 _DIGIT = re.compile("[0-9]")
-_TRIGGER = re.compile("[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
+_AT, _DOT = re.compile(r" ?[(\[]at[)\]] ?"), re.compile(r" ?[(\[]dot[)\]] ?")
+_SECRET = re.compile("[A-Za-z0-9+/_-]{20,64}")
+_SECRET_SIGN, _LETTER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"), re.compile("[A-Za-z]")
+_NUMBER = re.compile(r"[(]?[0-9][0-9() .-]*[0-9]")
+#: What other forms look like in a text: windows with them are not learned from.
+_UNLABELLED = re.compile(r"[(]?[0-9]{2,4}[)]?[ .-]?[0-9]{3}[ .-][0-9]{3,4}|[A-Za-z0-9+/_-]{16,}|[(\[]at[)\]]")
 
 
 def luhn(digits: str) -> bool:
@@ -94,6 +107,17 @@ def _dotted(text: str):
             at += len(own) + 1
 
 
+def other_form(kind: str, own: str) -> bool:
+    """Whether a text is of a form that no base pattern has."""
+    if kind == "email":
+        return bool(_AT.search(own)) and bool(_SHAPES["email"].fullmatch(_DOT.sub(".", _AT.sub("@", own))))
+    if kind == "phone":
+        return bool(_NUMBER.fullmatch(own)) and 10 <= len(_DIGIT.findall(own)) <= 15 and len(own) <= 24 and bool(re.search("[().-]", own))
+    if kind == "secret":
+        return bool(_SECRET.fullmatch(own)) and len(_DIGIT.findall(own)) >= 4 and len(_LETTER.findall(own)) >= 4
+    return False
+
+
 def matches(text: str) -> list[tuple[int, int, int]]:
     """(begin, end, kind) of every match of the patterns, unchecked."""
     if not _TRIGGER.search(text):
@@ -115,8 +139,8 @@ def windows(text: str) -> tuple[np.ndarray, np.ndarray]:
     begins = np.arange(0, max(len(own) - WINDOW + STRIDE, 1), STRIDE)
     padded = np.full(int(begins[-1]) + WINDOW, PAD, np.uint8)
     padded[: len(own)] = own
-    digits, ats = (np.concatenate([[0], np.cumsum(padded == ord(c))]) for c in "0@")
-    wanted = (digits[begins + WINDOW] - digits[begins] >= LEAST_DIGITS) | (ats[begins + WINDOW] > ats[begins])
+    digits, marks = (np.concatenate([[0], np.cumsum(np.isin(padded, [ord(c) for c in some]))]) for some in ("0", "@(["))
+    wanted = (digits[begins + WINDOW] - digits[begins] >= LEAST_DIGITS) | (marks[begins + WINDOW] > marks[begins])
     begins = begins[wanted]
     return begins, padded[begins[:, None] + np.arange(WINDOW)]
 
@@ -144,11 +168,23 @@ def _tagged(text: str, labels: np.ndarray):
             b += 1
         while b > a and not text[b - 1].isalnum():
             b -= 1
-        while a < b and not (text[a].isalnum() or text[a] == "+"):
+        while a < b and not (text[a].isalnum() or text[a] in "+("):
             a += 1
         yield a, b, int(inside) // 2 - 1
 
 
+def _grown(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
+    """A secret or number with what is left of its word on both sides."""
+    signs = {"secret": _SECRET_SIGN, "phone": frozenset("0123456789")}.get(kind, frozenset())
+    while a and text[a - 1] in signs and b - a < 80:
+        a -= 1
+    while b < len(text) and text[b] in signs and b - a < 80:
+        b += 1
+    if kind == "phone" and a and text[a - 1] == "(" and ")" in text[a:b]:
+        a -= 1
+    return a, b
+
+
 def _alone(text: str, a: int, b: int) -> bool:
     return not (text[a - 1: a].isalnum() if a else False) and not text[b: b + 1].isalnum()
 
@@ -159,9 +195,14 @@ def added_spans(text: str, base: list, labels: np.ndarray) -> list[tuple[int, in
         taken[a:b] = True
     found = []
     for a, b, k in _tagged(text, labels):
+        kind = KINDS[k]
+        if b > a:
+            a, b = _grown(text, a, b, kind)
         own = text[a:b]
-        if b > a and not taken[a:b].any() and _SHAPES[KINDS[k]].fullmatch(own) and valid(KINDS[k], own) and _alone(text, a, b):
+        fits = other_form(kind, own) or kind in _SHAPES and _SHAPES[kind].fullmatch(own) and valid(kind, own)
+        if b > a and not taken[a:b].any() and fits and _alone(text, a, b):
             found.append((a, b, k))
+            taken[a:b] = True
     return found
 
 
@@ -194,6 +235,9 @@ def _taught(text: str) -> list[tuple[bytes, bytes]]:
             labels[a:b] = begin_label(k) + 1
             labels[a] = begin_label(k)
     rows = []
+    for m in _UNLABELLED.finditer(text):
+        if not labels[m.start(): m.end()].any():
+            unclear[m.start(): m.end()] = True
     for a, x in zip(*windows(text)):
         y = labels[a: a + WINDOW]
         if not unclear[a: a + WINDOW].any() and not (y[0] and y[0] % 2 == 0):  # nor with a span that begins before
@@ -232,6 +276,51 @@ def _spliced(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarr
     return tuple(np.stack(z) for z in zip(*rows))
 
 
+_NAMES = ("token = ", "key: ", "api_key=", "secret ", "password: ", "Bearer ", "")
+_PHONES = ("(ddd) ddd-dddd", "(ddd)ddd-dddd", "ddd-ddd-dddd", "ddd.ddd.dddd", "(dd) dddd-dddd", "(ddd) ddd dddd")
+_SIGNS = {"hex": "0123456789abcdef", "any": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"}
+
+
+def made_span(draw: np.random.Generator) -> tuple[str, str, str, int]:
+    """What stands before, a made span of another form, what stands behind, and its kind."""
+
+    def some(signs: str, n: int) -> str:
+        return "".join(signs[i] for i in draw.integers(len(signs), size=n))
+
+    def one(of):
+        return of[int(draw.integers(len(of)))]
+
+    kind = int(draw.integers(3))
+    if kind == 0:
+        form = one(_PHONES)
+        return one(("call ", "tel. ", "at ", "")), "".join(some("0123456789", 1) if c == "d" else c for c in form), "", KINDS.index("phone")
+    if kind == 1:
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        at, dot = one(("(at)", " (at) ", "[at]", " [at] ")), one((".", ".", "[dot]", " (dot) "))
+        return "", some(letters, int(draw.integers(3, 9))) + at + some(letters, int(draw.integers(3, 9))) + dot + one(("com", "org", "net", "de")), "", 0
+    secret = one(("", "", "sk_")) + some(_SIGNS[one(("hex", "hex", "any", "upper"))], int(draw.integers(24, 44)))
+    quote = one(('"', "'", ""))
+    return one(_NAMES) + quote, secret, quote, KINDS.index("secret")
+
+
+def made_windows(plain: np.ndarray, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of `plain` (without a span) into each of which a made span is put, with their labels."""
+    draw, xs, ys = np.random.default_rng(seed), [], []
+    for _ in range(n):
+        before, span, behind, kind = made_span(draw)
+        own = classes(f" {before}{span}{behind} ")[: WINDOW - 2]
+        labels = np.zeros(len(own), np.int8)
+        a = 1 + len(before)
+        labels[a: a + len(span)] = begin_label(kind) + 1
+        labels[a: a + 1] = begin_label(kind)
+        around = plain[draw.integers(len(plain))] if len(plain) else np.full(WINDOW, ord("a"), np.uint8)
+        around = np.where(np.isin(around, [ord("0"), ord("@")]), ord("a"), around).astype(np.uint8)
+        at = int(draw.integers(WINDOW - len(own) + 1))
+        xs.append(np.concatenate([around[:at], own, around[at: WINDOW - len(own)]]))
+        ys.append(np.concatenate([np.zeros(at, np.int8), labels, np.zeros(WINDOW - len(own) - at, np.int8)]))
+    return np.stack(xs), np.stack(ys)
+
+
 def learned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagger | None:
     """A tagger of the windows of LEARN_DOCS documents, those of the least hash of their id."""
     plain = texts_of(docs, doc_id, text)
@@ -253,7 +342,8 @@ def learned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagg
     x = np.stack([np.frombuffer(r["x"], np.uint8) for r in rows])
     y = np.stack([np.frombuffer(r["y"], np.int8) for r in rows])
     more_x, more_y = _spliced(x, y, SPLICED)
-    return Tagger().fit(np.concatenate([x, more_x]), np.concatenate([y, more_y]))
+    made_x, made_y = made_windows(x[~y.any(1)], MADE, 13)
+    return Tagger().fit(np.concatenate([x, more_x, made_x]), np.concatenate([y, more_y, made_y]))
 
 
 SPANS = "spans array<struct<begin: long, end: long, kind: string, base: boolean>>"

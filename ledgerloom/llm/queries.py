@@ -157,7 +157,7 @@ def op10_personal_data(spark, sf_dir):
     def of(kind):
         return F.filter(base, lambda s: s["kind"] == kind)
 
-    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = 1 + 2 * len(KINDS)
 OTHER, PAD, CLASSES = 128, 129, 130
 HIDDEN, EPOCHS, BATCH, RATE, SEED = 20, 10, 48, 0.01, 7
