@@ -394,7 +394,9 @@ def test_the_tagger_finds_forms_that_no_pattern_has(spark):
         at = max(host.find(" ", int(draw.integers(len(host) - 50))), 0)
         texts.append(f"{host[:at]} {before}{span}{behind} {host[at:]}")
         made.append((at + 1 + len(before), at + 1 + len(before) + len(span), kind))
-    assert not any(pii.base_spans(t) for t in texts), "the patterns find none of them"
+    missed = [k for k, t in enumerate(texts) if not pii.base_spans(t)]  # a secret may hold a card number
+    assert len(missed) > 890
+    texts, made = ([x[k] for k in missed] for x in (texts, made))
     found = [[s[:3] for s in own] for own in pii.all_spans(texts, model)]
     for kind in ("email", "phone", "secret"):
         wanted = [own for own, m in zip(found, made) if pii.KINDS[m[2]] == kind]
