@@ -146,10 +146,10 @@ class Manifest:
         leaves = stored(docs.select(
             F.coalesce(F.concat(F.lit("="), tree), F.lit("-")).alias("tree"), F.col(key).alias("key"),
             F.unhex(leaf(*columns)).alias("digest"), *(c.alias(n) for n, c in carry.items())), "leaves")
-        numbered = numbered(leaves, ["key", "digest"], "ordered_leaves")
+        placed = numbered(leaves, ["key", "digest"], "ordered_leaves")
         self.rest = ["key", *self.carried]
         self.rest_ddl = ", ".join(f"{c} {leaves.schema[c].dataType.simpleString()}" for c in self.rest)
-        self.levels, subroots = self._built(_subtrees(numbered, self.rest))
+        self.levels, subroots = self._built(_subtrees(placed, self.rest))
         roots = stored(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest"), "subroots")
         self.top_levels, self.roots = self._built(_subtrees(numbered(roots, ["name"], "ordered_subroots"), ["name"]))
 
