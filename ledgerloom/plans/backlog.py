@@ -102,8 +102,13 @@ def products(t: Tables) -> DataFrame:
     return lookup(active, t["transac"], {"maker": "codi_tra"}, {"cod_fabricante": "codi_tra", "fabricante": "raza_tra"})
 
 
+def orders_of(t: Tables, span: tuple[str, str]) -> DataFrame:
+    """Orders of the span that are not cancelled."""
+    return t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(*span))
+
+
 def order_lines(t: Tables, shown: DataFrame, keys: Keys, items: DataFrame) -> DataFrame:
-    """Lines of orders that are not cancelled, with the sums kept per order or order line."""
+    """Lines (items) of the orders shown, with the sums kept per order or order line."""
     control = t["topctrl"].where(F.col("codi_ctr") == codes.DELIVERY_CONTROL)
     orders = has_match(shown, control, {"codi_top": "codi_top"}, "controlled")
 
@@ -133,8 +138,7 @@ def backlog(t: Tables, first_day: str = codes.FIRST_DAY, last_day: str = codes.L
 
     Orders of the span and their lines are stage tables; everything that is summed for them is read by their keys.
     """
-    orders = t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(first_day, last_day))
-    shown = staged(orders, "backlog_orders")
+    shown = staged(orders_of(t, (first_day, last_day)), "backlog_orders")
     keys = staged_keys(shown, list(_ORDER), "backlog_order_keys")
     items = staged(rows_of(t["ipedido"], keys, _BY_ORDER), "backlog_items")
     lines, prices = at_once(
