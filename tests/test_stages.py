@@ -122,3 +122,11 @@ def test_distinct_by_digest_agrees_with_distinct(spark, rows):
 def test_rows_that_differ_in_one_column_or_in_where_null_stands_stay(rows):
     df = rows("a string, b string, c string", ("x", None, None), (None, "x", None), (None, None, "x"), ("x", "y", "z"), ("x", "y", "w"), ("x", "y", "w"))
     assert distinct_staged(df, "d").count() == 5
+
+
+def test_a_stage_leaves_no_shuffle_files_and_its_frame_can_run_again(spark):
+    from ledgerloom.session import apply_settings
+
+    assert apply_settings(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counted = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 10).alias("k")).count()
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, counted.collect())) == [(k, 100) for k in range(10)]
