@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import code_label, day_text, joined_text, open_balance, to_other_currency
 from ledgerloom.operators.joins import has_match, latest_by, lookup, totals_by
 from ledgerloom.operators.lists import counted_values, list_text
-from ledgerloom.operators.stages import Keys, at_once, rows_of, staged, staged_keys
+from ledgerloom.operators.stages import Keys, rows_of, staged, staged_keys
 from ledgerloom.plans import codes
 from ledgerloom.sources.erp import Tables
 
@@ -107,14 +107,14 @@ def orders_of(t: Tables, span: tuple[str, str]) -> DataFrame:
     return t["pedido"].where((F.col("situ_ped") != "9") & F.col("demi_ped").between(*span))
 
 
-def order_lines(t: Tables, shown: DataFrame, keys: Keys, items: DataFrame) -> DataFrame:
-    """Lines (items) of the orders shown, with the sums kept per order or order line."""
+def order_heads(t: Tables, shown: DataFrame, keys: Keys) -> DataFrame:
+    """The orders shown with all that follows from their own columns, so no line has to carry it from join to join."""
     control = t["topctrl"].where(F.col("codi_ctr") == codes.DELIVERY_CONTROL)
     orders = has_match(shown, control, {"codi_top": "codi_top"}, "controlled")
 
     terms = counted_values(rows_of(t["prefinan"], keys, _BY_ORDER), list(_ORDER), "praz_pfp", "terms")
     orders = lookup(orders, terms, _ORDER, {"terms": "terms"})
-    orders = orders.withColumn("venc_pfp", list_text("terms", lambda d: day_text(F.date_add("vcto_ped", d))))
+    orders = orders.withColumn("venc_pfp", list_text("terms", lambda d: day_text(F.date_add("vcto_ped", d)))).drop("terms")
 
     rates = lookup(t["indvalor"], t["indexador"], {"codi_ind": "codi_ind"}, {"desc_ind": "desc_ind"}, "inner")
     orders = lookup(orders.withColumnRenamed("codi_ind", "index"), rates,
@@ -123,45 +123,56 @@ def order_lines(t: Tables, shown: DataFrame, keys: Keys, items: DataFrame) -> Da
     orders = lookup(orders, negotiations(t), {"ctrl_neg": "ctrl_neg", "cod1_pes": "codi_pes", "codi_emp": "codi_emp"},
                     {"numero_negociacao": "nume_neg", "tipo_negociacao": "kind", "rt_liquida": "vluc_neg", "rt": "vlul_neg",
                      "moeda": "moed_ind", "cotacao_dolar": "rate", "cotacao_dolar_negociacao": "dollar_rate"})
+    orders = staged(orders, "backlog_rated")
+    orders = lookup(orders, lookup(t["cademp"], t["municipio"], {"codi_mun": "codi_mun"}, {"desc_mun": "desc_mun"}, "inner"),
+                    {"codi_emp": "codi_emp"}, {"desc_mun": "desc_mun"}, "inner")
+    orders = lookup(orders, t["transac"], {"codi_tra": "codi_tra"}, {"cgc_tra": "cgc_tra", "raza_tra": "raza_tra"}, "inner")
+    # Optional lookups show the code of the looked-up row, so a code without a row is NULL.
+    for table, code, text in (
+        ("propried", "prop_pro", "desc_pro"), ("ciclo", "codi_cic", "desc_cic"), ("condicao", "cond_con", "desc_con"),
+        ("cfo", "ccfo_cfo", "desc_cfo"), ("tipooper", "codi_top", "desc_top"),
+    ):
+        orders = _with_name(orders, t[table], code, text)
+    orders = lookup(orders, t["pessoal"], {"cod1_pes": "codi_pes"}, {"codi_pes": "codi_pes", "nome_pes": "nome_pes"})
+    users = lookup(t["cadusu"], t["pessoal"], {"codi_pes": "codi_pes"}, {"nome_pes": "nome_pes"}, "inner")
+    return lookup(orders, users, {"codi_usu": "codi_usu"}, {"usu_inclusao": "nome_pes"})
+
+
+def _with_name(df: DataFrame, table: DataFrame, code: str, text: str) -> DataFrame:
+    return lookup(df.withColumnRenamed(code, "_code"), table, {"_code": code}, {code: code, text: text}).drop("_code")
 
-    header = [c for c in orders.columns if c not in _ORDER]
-    lines = lookup(items, orders, _ORDER, {c: c for c in header}, "inner")
-    lines = lines.withColumn("qper_ipe", F.coalesce("qper_ipe", F.lit(0)))
+
+def order_lines(t: Tables, keys: Keys, items: DataFrame) -> DataFrame:
+    """Order lines (items) with the sums kept per order line and their price list."""
+    lines = items.withColumn("qper_ipe", F.coalesce("qper_ipe", F.lit(0)))
     lines = lookup(lines, sent_by_order(t, keys), _LINE, {"sent": "sent"})
     lines = lookup(lines, lost_sales(t, keys), _LINE, {"lost": "lost"})
-    return lookup(lines, delivered(t, keys), {"pedi_ped": "pedi_ped", "seri_ped": "seri_ped", "codi_emp": "empr_ped", "codi_psv": "codi_psv"},
-                  {"qdev": "qdev", "qent": "qent"})
+    lines = lookup(lines, delivered(t, keys), {"pedi_ped": "pedi_ped", "seri_ped": "seri_ped", "codi_emp": "empr_ped", "codi_psv": "codi_psv"},
+                   {"qdev": "qdev", "qent": "qent"})
+    return _with_name(lines, t["cabtab"], "tabe_cta", "desc_cta")
 
 
 def backlog(t: Tables, first_day: str = codes.FIRST_DAY, last_day: str = codes.LAST_DAY) -> DataFrame:
     """The order backlog dataset.
 
     Orders of the span and their lines are stage tables; everything that is summed for them is read by their keys.
+    What an order's own columns decide is looked up per order, what a line's decide per line; the two are staged and meet last.
     """
     shown = staged(orders_of(t, (first_day, last_day)), "backlog_orders")
     keys = staged_keys(shown, list(_ORDER), "backlog_order_keys")
     items = staged(rows_of(t["ipedido"], keys, _BY_ORDER), "backlog_items")
-    lines, prices = at_once(
-        lambda: order_lines(t, shown, keys, items),
-        lambda: last_purchase_price(t, staged_keys(items, ["codi_psv"], "backlog_products")))
-    lines = lookup(lines, lookup(t["cademp"], t["municipio"], {"codi_mun": "codi_mun"}, {"desc_mun": "desc_mun"}, "inner"),
-                   {"codi_emp": "codi_emp"}, {"desc_mun": "desc_mun"}, "inner")
-    lines = lookup(lines, t["transac"], {"codi_tra": "codi_tra"}, {"cgc_tra": "cgc_tra", "raza_tra": "raza_tra"}, "inner")
+    # One after the other: only the shuffles of one stage are on disk.
+    prices = last_purchase_price(t, staged_keys(items, ["codi_psv"], "backlog_products"))
+    lines = staged(order_lines(t, keys, items), "backlog_lines")
     priced = lookup(products(t), prices, {"codi_psv": "codi_psv"}, {"ult_compra": "price"})
     lines = lookup(lines, priced, {"codi_psv": "codi_psv"},
                    {"desc_psv": "desc_psv", "codi_gpr": "codi_gpr", "desc_gpr": "desc_gpr", "codi_sbg": "known_sbg",
                     "desc_sbg": "desc_sbg", "cod_fabricante": "cod_fabricante", "fabricante": "fabricante",
                     "principio_ativo": joined_text("active_code", F.lit("-"), "active"), "unidade": "unid_psv",
                     "ult_compra": "ult_compra"}, "inner")
-    # Optional lookups show the code of the looked-up row, so a code without a row is NULL.
-    for table, code, text in (
-        ("propried", "prop_pro", "desc_pro"), ("ciclo", "codi_cic", "desc_cic"), ("condicao", "cond_con", "desc_con"),
-        ("cfo", "ccfo_cfo", "desc_cfo"), ("tipooper", "codi_top", "desc_top"), ("cabtab", "tabe_cta", "desc_cta"),
-    ):
-        lines = lookup(lines.withColumnRenamed(code, "_code"), t[table], {"_code": code}, {code: code, text: text}).drop("_code")
-    lines = lookup(lines, t["pessoal"], {"cod1_pes": "codi_pes"}, {"codi_pes": "codi_pes", "nome_pes": "nome_pes"})
-    users = lookup(t["cadusu"], t["pessoal"], {"codi_pes": "codi_pes"}, {"nome_pes": "nome_pes"}, "inner")
-    lines = lookup(lines, users, {"codi_usu": "codi_usu"}, {"usu_inclusao": "nome_pes"})
+    lines = staged(lines, "backlog_priced")
+    orders = staged(order_heads(t, shown, keys), "backlog_heads")
+    lines = lookup(lines, orders, _ORDER, {c: c for c in orders.columns if c not in _ORDER}, "inner")
 
     def other(value: Column | str) -> Column:
         return to_other_currency(value, "vlor_vlr")
