@@ -38,13 +38,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written to the shared folder and read back: lineage ends here."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+def stored(df: DataFrame, name: str, path: str | None = None, **options: str) -> DataFrame:
+    """The same rows, written to the shared folder and read back: lineage ends here. options: those of the Parquet writer."""
+    path = path or shared_path(df.sparkSession, name)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Free the disk of an intermediate table that nothing reads any more: it is overwritten without rows."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def steps(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about STEP_BYTES of text each."""
     column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string())

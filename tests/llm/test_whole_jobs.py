@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import packing, perplexity, pii, quality, toxicity
 from ledgerloom.llm.frames import least_hashed, session
 from ledgerloom.llm.tokens import encoder, vocabulary
+from ledgerloom.session import work_folder
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -81,6 +83,34 @@ def test_rows_of_the_language_model_grow_with_the_text(spark, rows):
     assert counts[1] > 2.5 * counts[0]
 
 
+def test_perplexity_part_after_part_frees_its_disk(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = docs.unionByName(docs.limit(20)), labels.withColumn("quality", F.lit(1))
+    chars = docs.agg(F.sum(F.char_length("text"))).first()[0]
+    monkeypatch.setattr(perplexity, "SHARD_CHARS", chars // 5)
+    monkeypatch.setattr(perplexity, "ROUND_CHARS", chars // 3)
+
+    def values(**options):
+        return sorted((r["doc_id"], round(r["perplexity"] or 0, 3), r["kept"]) for r in perplexity.scored(docs, labels, **options).collect())
+
+    whole = values()
+    folder = Path(work_folder(spark).removeprefix("file://"))
+    there = {p: p.stat().st_size for p in folder.rglob("*.parquet")}
+    assert values(broadcast_grams=60_000) == whole and len(whole) == docs.count()
+    left = sum(p.stat().st_size for p in folder.rglob("*.parquet") if p not in there)
+    assert left < 1.5 * chars  # counts, wanted n-grams and probabilities of characters; no texts and no n-grams of words
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_packed_numbers_come_back(n):
+    draw = np.random.default_rng(3)
+    keys = np.unique(draw.integers(0, 1 << 64, n, dtype=np.uint64))
+    assert (perplexity._unpacked(perplexity._packed(keys)) == keys).all()
+    for bound in (2, 300, 1 << 62):
+        numbers = draw.integers(-bound if bound > 300 else 0, bound, (n, 4))
+        assert (perplexity._from_numbers(perplexity._numbers(numbers), 4) == numbers).all()
+
+
 # --- packing
 
 def thirds(draw):
