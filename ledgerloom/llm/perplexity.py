@@ -46,7 +46,7 @@ ORDER, WORD_ORDER, QUANTILE = 4, 3, 0.995
 #: SHARD_CHARS: characters of the corpus for each shard of the model.
 BROADCAST_GRAMS, BLOCK_CHARS, SHARD_CHARS = 1 << 20, 1 << 23, 1 << 24
 #: Parts that pairs are counted in and documents are scored in, each after the other; fewer if they had under ROUND_CHARS each.
-COUNT_ROUNDS, SCORE_ROUNDS, ROUND_CHARS = 5, 12, 1 << 21
+COUNT_ROUNDS, SCORE_ROUNDS, ROUND_CHARS = 8, 10, 1 << 21
 #: N-grams in a row of packed ones.
 RUN_GRAMS = 1 << 17
 SYMBOLS = tuple(f"s{k}" for k in range(1, ORDER + 1))
@@ -223,6 +223,12 @@ def _from_planes(planes: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(parts).view(np.float32).reshape(width, -1).T
 
 
+def _coded(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The different rows of float32, which are few, and which of them each row is."""
+    _, at, codes = np.unique(gram_hashes(values.view(np.uint32)), return_index=True, return_inverse=True)
+    return _planes(values[at]), _numbers(codes[:, None])
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     """Where rows that differ from the row before begin."""
     new = np.ones(len(columns[0]), bool)
@@ -595,7 +601,7 @@ def _asked(dealt: DataFrame, shards: int, letters: bool) -> DataFrame:
 def _scored_by_blocks(docs: DataFrame, runs: GramRuns, shards: int, rounds: int, word_total: float, spelled: float,
                       taken: dict[int, tuple[float, float, float]], letters: GramTable | None) -> DataFrame:
     """Documents part after part, block by block, each block with the part of the model that it asked for."""
-    answer = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("found", pa.binary())])
+    answer = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("kinds", pa.binary()), ("codes", pa.binary())])
 
     def find(asked: pa.Table, model: pa.Table) -> pa.Table:
         out, questions = [], [_unpacked(k.as_py()) for k in asked["keys"]]
@@ -610,14 +616,15 @@ def _scored_by_blocks(docs: DataFrame, runs: GramRuns, shards: int, rounds: int,
                 into[a + same] += _model_values(part, counts[at[same]], taken)
                 met[a + same] = True
         for block, k, values, met in zip(asked["block"].to_pylist(), questions, found, there):
-            out.append({"block": block, "keys": _packed(k[met]), "found": _planes(values[met])})
+            kinds, codes = _coded(values[met])
+            out.append({"block": block, "keys": _packed(k[met]), "kinds": kinds, "codes": codes})
         return pa.Table.from_pylist(out, answer)
 
     names = [c for c in docs.columns if c != "text"]
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         keys = [_unpacked(k) for k in found["keys"].to_pylist()]
-        values = [_from_planes(v, 3) for v in found["found"].to_pylist()]
+        values = [_from_planes(x.as_py(), 3)[_from_numbers(c.as_py())[:, 0]] for x, c in zip(found["kinds"], found["codes"])]
         own = GramTable(np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*values, np.zeros((0, 3), np.float32)]), word_total, spelled, letters)
         out = [pa.RecordBatch.from_arrays([*(step.column(c) for c in names), *own.perplexities(step.column("text"))], names=[*names, "n_symbols", "perplexity"])
                for batch in rows.to_batches() for step in steps(batch, "text")]
@@ -629,7 +636,7 @@ def _scored_by_blocks(docs: DataFrame, runs: GramRuns, shards: int, rounds: int,
         mine = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == part)
         dealt = _in_blocks(mine, BLOCK_CHARS, own := shared_path(spark, "blocks"))
         model = runs.rows().select("shard", "part", "keys", "counts")
-        answers = _asked(dealt, shards, letters is None).groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(find, "block long, keys binary, found binary")
+        answers = _asked(dealt, shards, letters is None).groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(find, "block long, keys binary, kinds binary, codes binary")
         scored_part = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"{shown}, {SCORED}")
         scored_part.write.mode("append").parquet(path)
         forget(spark, own)
