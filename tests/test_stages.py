@@ -3,10 +3,12 @@
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.stages import at_once, distinct_staged, rows_of, staged, staged_keys
+from ledgerloom.operators import stages
+from ledgerloom.operators.stages import at_once, distinct_staged, rows_of, staged, staged_alone, staged_in_parts, staged_keys
 
 
 def plan(df):
@@ -130,3 +132,34 @@ def test_a_stage_leaves_no_shuffle_files_and_its_frame_can_run_again(spark):
     assert apply_settings(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
     counted = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 10).alias("k")).count()
     assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, counted.collect())) == [(k, 100) for k in range(10)]
+
+
+def files(folder):
+    """Bytes of the stages in a folder, by their names, without those that were emptied."""
+    found = {}
+    for path in folder.rglob("part-*.parquet"):
+        if pq.ParquetFile(path).metadata.num_rows:
+            name = re.sub(r"-[0-9a-f]{32}$", "", path.parent.name)
+            found[name] = found.get(name, 0) + path.stat().st_size
+    return found
+
+
+def test_parts_keep_their_rows_and_leave_none_of_their_stages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stages, "work_folder", lambda spark: str(tmp_path))
+    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before, seen = spark.conf.get(threshold), []
+
+    def part(k):
+        seen.append((spark.conf.get(threshold), set(files(tmp_path))))
+        halves = at_once(lambda: staged(spark.range(k * 10, k * 10 + 5), "low"), lambda: staged(spark.range(k * 10 + 5, k * 10 + 10), "high"))
+        both = staged_alone(spark, lambda: staged(halves[0], "again").union(halves[1]), "both")
+        assert {"low", "high", "both"} <= set(files(tmp_path)) and "again" not in files(tmp_path)
+        return both
+
+    whole = staged_in_parts(spark, [lambda k=k: part(k) for k in range(3)], "whole")
+    assert sorted(r.id for r in whole.collect()) == list(range(30)) == sorted(r.id for r in whole.collect())
+    assert [names for _, names in seen] == [set(), {"whole"}, {"whole"}] and set(files(tmp_path)) == {"whole"}
+    assert seen[0][0] == "32MB" and spark.conf.get(threshold) == before
+    with pytest.raises(ZeroDivisionError):
+        staged_in_parts(spark, [lambda: 1 // staged(spark.range(3), "low").where("id > 5").count()], "failed")
+    assert set(files(tmp_path)) == {"whole"} and spark.conf.get(threshold) == before
