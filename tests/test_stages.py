@@ -159,7 +159,7 @@ def test_parts_keep_their_rows_and_leave_none_of_their_stages(spark, tmp_path, m
     whole = staged_in_parts(spark, [lambda k=k: part(k) for k in range(3)], "whole")
     assert sorted(r.id for r in whole.collect()) == list(range(30)) == sorted(r.id for r in whole.collect())
     assert [names for _, names in seen] == [set(), {"whole"}, {"whole"}] and set(files(tmp_path)) == {"whole"}
-    assert seen[0][0] == "32MB" and spark.conf.get(threshold) == before
+    assert seen[0][0] == "128MB" and spark.conf.get(threshold) == before
     with pytest.raises(ZeroDivisionError):
         staged_in_parts(spark, [lambda: 1 // staged(spark.range(3), "low").where("id > 5").count()], "failed")
     assert set(files(tmp_path)) == {"whole"} and spark.conf.get(threshold) == before
